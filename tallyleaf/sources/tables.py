@@ -3,7 +3,10 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyleaf.functions import minhash, text
+from tallyleaf.operators import lsh
 from tallyleaf.operators.ingest import all_sales, fact_sales, latest_lines
+from tallyleaf.operators.skew import salted_join
 
 LAST_DAY = "9999-12-31"
 REISSUED_ON = "1998-06-01"
@@ -247,3 +250,71 @@ def notices(spark, folder) -> DataFrame:
         F.col("text").alias("body"),
         F.col("lang").alias("estimated_value"),
     )
+
+
+def pages(spark, folder) -> DataFrame:
+    """Web pages as notices: the portal is the top-level domain, the title the address."""
+    return read(spark, folder, "pages").select(
+        F.col("page_id").alias("notice_id"),
+        F.regexp_extract("url", r"^https?://[^/]*\.([a-z]+)", 1).alias("portal_id"),
+        F.col("url").alias("title"),
+        F.col("html").alias("body"),
+    )
+
+
+def incoming(spark, folder) -> DataFrame:
+    """Benchmark items as a batch of notices still to be looked up."""
+    return read(spark, folder, "benchmark").select(
+        F.col("item_id").alias("notice_id"), F.lit("").alias("title"), F.col("text").alias("body")
+    )
+
+
+def clusters(spark, folder) -> DataFrame:
+    """Truth clusters: documents of equal text, named after the lowest id. ``copy_index`` orders the members."""
+    keyed = read(spark, folder, "documents").select(
+        F.col("doc_id").alias("notice_id"), F.md5("text").alias("text_key"), F.col("lang").alias("archetype")
+    )
+    repeated = keyed.groupBy("text_key").agg(F.min("notice_id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    joined = salted_join(keyed, repeated.drop("n"), ["text_key"], ["notice_id"], "left")
+    cluster = F.coalesce("first", "notice_id")
+    return joined.select(
+        "notice_id", cluster.alias("cluster_id"), (F.col("notice_id") - cluster).alias("copy_index"), "archetype"
+    )
+
+
+def labelled_pairs(spark, folder) -> DataFrame:
+    """Pairs with a label, in number proportional to the documents.
+
+    Every document is paired with the first one that has the same lowest shingle hash, and with the first one
+    of its portal and language. The label is "same" when the lowest shingle agrees and the lengths are within
+    a tenth: a rule of its own, not the similarity under test.
+    """
+    cleaned = lsh.clean(notices(spark, folder), "naive").where("clean <> ''")
+    lowest = F.array_min(F.transform(text.word_ngrams(F.col("clean"), 3), minhash.hash60))
+    docs = cleaned.select(
+        "notice_id", "portal_id", "estimated_value", F.length("clean").alias("size"), lowest.alias("lowest")
+    )
+    pairs = _with_first(docs, ["lowest"]).union(_with_first(docs, ["portal_id", "estimated_value"])).distinct()
+    shorter, longer = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
+    same = (F.col("lowest_a") == F.col("lowest_b")) & (10 * shorter >= 9 * longer)
+    return pairs.select("id_a", "id_b", F.when(same, "same").otherwise("different").alias("label"))
+
+
+def _with_first(docs, keys):
+    features = F.struct("notice_id", "size", "lowest")
+    first = docs.groupBy(*keys).agg(F.min(features).alias("first"))
+    paired = salted_join(docs, first, keys, ["notice_id"]).where("notice_id > first.notice_id")
+    return paired.select(
+        F.col("first.notice_id").alias("id_a"),
+        F.col("notice_id").alias("id_b"),
+        F.col("first.size").alias("size_a"),
+        F.col("size").alias("size_b"),
+        F.col("first.lowest").alias("lowest_a"),
+        F.col("lowest").alias("lowest_b"),
+    )
+
+
+def earlier_notices(spark, folder) -> DataFrame:
+    """The documents that carry a quality label: what an earlier run had seen."""
+    seen = read(spark, folder, "labels").select(F.col("doc_id").alias("notice_id"))
+    return notices(spark, folder).join(seen, "notice_id", "left_semi")
