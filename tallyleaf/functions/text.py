@@ -79,7 +79,8 @@ def word_ngrams(text: Column, n: int) -> Column:
         return F.array_distinct(words(text))
     gram = "[^ ]+" + " [^ ]+" * (n - 1)
     grams = F.regexp_extract_all(text, F.lit(f"(?:^| )(?=({gram}))"), F.lit(1))
-    return F.array_distinct(F.when(F.size(grams) == 0, words(text)).otherwise(grams))
+    few = F.size(F.split(text, " ", n)) < n
+    return F.array_distinct(F.when(few, words(text)).otherwise(grams))
 
 
 def char_ngrams(text: Column, n: int = 5) -> Column:

@@ -148,6 +148,10 @@ def _representation(sets, pairs, name):
     )
 
 
+def _below(k):
+    return lambda position: position < k
+
+
 def signature_error(notices: DataFrame, pairs: DataFrame, sizes=SIGNATURE_SIZES) -> DataFrame:
     """How far the MinHash estimate is from the exact score, for several signature lengths.
 
@@ -159,8 +163,8 @@ def signature_error(notices: DataFrame, pairs: DataFrame, sizes=SIGNATURE_SIZES)
     residues = F.transform("shingles", lambda h: (h % minhash.PRIME).cast("int"))
     features = (
         cleaned.select("notice_id", hashed.alias("shingles"))
-        .where(F.size("shingles") > 0)
         .withColumn("signature", minhash.signature(residues, longest))
+        .where("signature is not null")
     )
     both = lsh.pair_features(pairs, features, ["shingles", "signature"])
     shared = minhash.overlap(F.col("shingles_a"), F.col("shingles_b"))
@@ -174,7 +178,7 @@ def signature_error(notices: DataFrame, pairs: DataFrame, sizes=SIGNATURE_SIZES)
         F.explode(
             F.array(
                 *[
-                    F.struct(F.lit(k).alias("k"), F.size(F.filter("agree", lambda i, k=k: i < k)).alias("matches"))
+                    F.struct(F.lit(k).alias("k"), F.size(F.filter("agree", _below(k))).alias("matches"))
                     for k in sizes
                 ]
             )

@@ -52,10 +52,14 @@ def prune_frequent(shingled: DataFrame, share=DF_SHARE) -> DataFrame:
 
 
 def sketch(shingled: DataFrame, k=K, bands=BANDS, rows=ROWS) -> DataFrame:
-    """One row of bucket ids per notice. Notices without a shingle resemble nothing and are left out."""
+    """One row of bucket ids per notice. Notices without a shingle resemble nothing and are left out.
+
+    They are recognised by their missing signature: a condition on the shingles would be pushed below them and
+    have every text cleaned and cut a second time.
+    """
     kept = [c for c in shingled.columns if c not in ("clean", "shingles")]
-    hashed = shingled.where(F.size("shingles") > 0).withColumn("hashes", minhash.shingle_hashes(F.col("shingles")))
-    signed = hashed.withColumn("signature", minhash.signature(F.col("hashes"), k))
+    hashed = shingled.select(*kept, minhash.shingle_hashes(F.col("shingles")).alias("hashes"))
+    signed = hashed.withColumn("signature", minhash.signature(F.col("hashes"), k)).where("signature is not null")
     return signed.select(*kept, minhash.band_buckets(F.col("signature"), bands, rows).alias("buckets"))
 
 
@@ -93,7 +97,7 @@ def work_per_notice(posted: DataFrame, sizes: DataFrame, cap=None) -> DataFrame:
 def work_percentiles(work: DataFrame) -> DataFrame:
     """Exact percentiles over the histogram of work, so only distinct values reach the last task."""
     histogram = work.groupBy("work").agg(F.count("*").alias("notices"))
-    at = [F.percentile("work", F.lit(p), F.col("notices")).alias(name) for p, name in _POINTS]
+    at = [F.round(F.percentile("work", F.lit(p), F.col("notices")), 6).alias(name) for p, name in _POINTS]
     return histogram.agg(
         F.coalesce(F.sum("notices"), F.lit(0)).alias("notices"),
         *at,

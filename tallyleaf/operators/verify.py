@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tallyleaf.functions import minhash, text
 from tallyleaf.operators import lsh
 from tallyleaf.operators.skew import salted_join
+from tallyleaf.session import cut_lineage
 
 THRESHOLD = 0.45
 VALUE_BUCKET = ("estimated_value", "band_id", "bucket_id")
@@ -28,8 +29,9 @@ def originals(notices: DataFrame, **banding) -> DataFrame:
 
 def copies_of(notices: DataFrame) -> DataFrame:
     """Every copy with the original it repeats, as (id_a = original, id_b = copy)."""
-    keyed = lsh.clean(notices.where(F.col("estimated_value").isNotNull())).where("clean <> ''")
-    keyed = keyed.select("notice_id", "estimated_value", F.md5("clean").alias("text_key"))
+    keyed = lsh.clean(notices.where(F.col("estimated_value").isNotNull()))
+    keyed = cut_lineage(keyed.select("notice_id", "estimated_value", F.md5("clean").alias("text_key")))
+    keyed = keyed.where(F.col("text_key") != F.md5(F.lit("")))
     keys = ["text_key", "estimated_value"]
     repeated = keyed.groupBy(*keys).agg(F.min("notice_id").alias("id_a"), F.count("*").alias("n")).where("n > 1")
     members = salted_join(keyed, repeated.drop("n"), keys, ["notice_id"])
@@ -106,9 +108,9 @@ def verified_pairs(notices: DataFrame, threshold=THRESHOLD, cap=lsh.CAP, **bandi
     The value is part of the bucket key, not a filter on pairs. Buckets up to the cap are joined with
     themselves, larger ones go through ``large_bucket_candidates``: the cap sets the cost, not the result.
     """
-    posted = lsh.postings(originals(notices, **banding).select("notice_id", "estimated_value", "buckets"))
+    posted = lsh.postings(cut_lineage(originals(notices, **banding).select("notice_id", "estimated_value", "buckets")))
     sizes = lsh.bucket_sizes(posted, VALUE_BUCKET)
     small = lsh.capped_candidates(posted, sizes, cap, VALUE_BUCKET)
-    sets = lsh.large_bucket_sets(posted, sizes, cap, VALUE_BUCKET)
-    large = large_bucket_candidates(notices, sets, threshold)
-    return verify(small.union(large).distinct(), notices, threshold)
+    sets = cut_lineage(lsh.large_bucket_sets(posted, sizes, cap, VALUE_BUCKET))
+    found = small if sets.isEmpty() else small.union(large_bucket_candidates(notices, sets, threshold)).distinct()
+    return verify(found, notices, threshold)

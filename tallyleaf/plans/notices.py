@@ -27,8 +27,14 @@ def _shingled(spark, folder, how="processed", n=2):
     return lsh.word_shingles(lsh.clean(tables.notices(spark, folder), how), n)
 
 
-def _postings(spark, folder, how="processed", n=2, bands=lsh.BANDS, rows=lsh.ROWS):
-    return lsh.postings(lsh.sketch(_shingled(spark, folder, how, n), bands=bands, rows=rows))
+def _sketches(spark, folder, how="processed", bands=lsh.BANDS, rows=lsh.ROWS):
+    """Sketches written once: bucket sizes and every join on buckets read them again."""
+    found = lsh.sketch(_shingled(spark, folder, how), bands=bands, rows=rows)
+    return cut_lineage(found.select("notice_id", "portal_id", "buckets"))
+
+
+def _postings(spark, folder, **banding):
+    return lsh.postings(_sketches(spark, folder, **banding))
 
 
 def corpus_counts(spark, folder):
@@ -151,13 +157,13 @@ def signatures(spark, folder):
 
 
 def lsh_postings(spark, folder):
-    return _postings(spark, folder).select("band_id", "bucket_id", "notice_id")
+    return lsh.postings(lsh.sketch(_shingled(spark, folder)).select("notice_id", "buckets"))
 
 
 def bucket_stats(spark, folder):
     """Bucket statistics of naive text for both bandings."""
     rows = [
-        lsh.bucket_stats(lsh.bucket_sizes(_postings(spark, folder, "naive", bands=b, rows=r))).select(
+        lsh.bucket_stats(lsh.bucket_sizes(_postings(spark, folder, how="naive", bands=b, rows=r))).select(
             F.lit(b).alias("bands"), F.lit(r).alias("rows"), "*"
         )
         for b, r in ((16, 8), (32, 4))
@@ -192,8 +198,7 @@ def naive_vs_processed(spark, folder):
     """What stripping the boilerplate does to buckets, work and candidates."""
     rows = []
     for how in ("naive", "processed"):
-        sketches = cut_lineage(lsh.sketch(_shingled(spark, folder, how)).select("notice_id", "buckets"))
-        rows.append(_retrieval_summary(sketches).select(F.lit(how).alias("text"), "*"))
+        rows.append(_retrieval_summary(_sketches(spark, folder, how)).select(F.lit(how).alias("text"), "*"))
     return reduce(DataFrame.unionByName, rows)
 
 
@@ -244,16 +249,15 @@ def candidates(spark, folder):
 def label_recall(spark, folder):
     """Adjudicated duplicates among the candidates, without a cap."""
     same = tables.labelled_pairs(spark, folder).where("label = 'same'")
-    return lsh.recall(same, lsh.sketch(_shingled(spark, folder)))
+    return lsh.recall(same, _sketches(spark, folder))
 
 
 def winning_shingles(spark, folder):
-    shingled = _shingled(spark, folder)
-    return lsh.winning_shingles(shingled, lsh.sketch(shingled), WINNING_BAND)
+    return lsh.winning_shingles(_shingled(spark, folder), _sketches(spark, folder), WINNING_BAND)
 
 
 def retrieval_curve(spark, folder):
-    return evaluate.retrieval_curve(_scored(spark, folder), lsh.sketch(_shingled(spark, folder)))
+    return evaluate.retrieval_curve(_scored(spark, folder), _sketches(spark, folder))
 
 
 def _probe_batch(spark, folder):
@@ -263,14 +267,13 @@ def _probe_batch(spark, folder):
 
 def index_probe(spark, folder):
     """Documents that share a bucket with a benchmark item."""
-    index = _postings(spark, folder).select("band_id", "bucket_id", "notice_id")
-    return lsh.probe(index, _probe_batch(spark, folder))
+    return lsh.probe(lsh_postings(spark, folder), _probe_batch(spark, folder))
 
 
 def stored_index_probe(spark, folder):
     """The same probe against an index written by band and read back."""
     path = new_folder(spark, "index")
-    layout.write_lsh_index(_postings(spark, folder).select("band_id", "bucket_id", "notice_id"), path)
+    layout.write_lsh_index(lsh_postings(spark, folder), path)
     return lsh.probe(spark.read.parquet(path), _probe_batch(spark, folder))
 
 

@@ -7,6 +7,7 @@ from tallyleaf.functions import minhash, text
 from tallyleaf.operators import lsh
 from tallyleaf.operators.ingest import all_sales, fact_sales, latest_lines
 from tallyleaf.operators.skew import salted_join
+from tallyleaf.session import cut_lineage
 
 LAST_DAY = "9999-12-31"
 REISSUED_ON = "1998-06-01"
@@ -241,9 +242,15 @@ def causes(spark) -> DataFrame:
     )
 
 
+def spread(texts: DataFrame) -> DataFrame:
+    """Texts over all cores when the file has fewer splits than that; never a shuffle on a large input."""
+    cores = texts.sparkSession.sparkContext.defaultParallelism
+    return texts.repartition(cores) if texts.rdd.getNumPartitions() < cores else texts
+
+
 def notices(spark, folder) -> DataFrame:
     """Documents as notices: the portal is the source, the value to match on is the language."""
-    return read(spark, folder, "documents").select(
+    return spread(read(spark, folder, "documents")).select(
         F.col("doc_id").alias("notice_id"),
         F.col("source").alias("portal_id"),
         F.lit("").alias("title"),
@@ -289,10 +296,17 @@ def labelled_pairs(spark, folder) -> DataFrame:
     of its portal and language. The label is "same" when the lowest shingle agrees and the lengths are within
     a tenth: a rule of its own, not the similarity under test.
     """
-    cleaned = lsh.clean(notices(spark, folder), "naive").where("clean <> ''")
+    cleaned = lsh.clean(notices(spark, folder), "naive")
     lowest = F.array_min(F.transform(text.word_ngrams(F.col("clean"), 3), minhash.hash60))
-    docs = cleaned.select(
-        "notice_id", "portal_id", "estimated_value", F.length("clean").alias("size"), lowest.alias("lowest")
+    # Read four times below: written once as a narrow table instead of hashing every text four times.
+    docs = cut_lineage(
+        cleaned.select(
+            "notice_id",
+            "portal_id",
+            "estimated_value",
+            F.length("clean").alias("size"),
+            F.coalesce(lowest, F.lit(-1)).alias("lowest"),
+        )
     )
     pairs = _with_first(docs, ["lowest"]).union(_with_first(docs, ["portal_id", "estimated_value"])).distinct()
     shorter, longer = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
