@@ -33,18 +33,26 @@ def _processed(title, body):
     return _words_only(full)
 
 
-def _grams(value, n):
-    """Distinct word n-grams as a list."""
-    words = f"string_split({value}, ' ')"
-    return f"""(case when {value} = '' then cast([] as varchar[])
-      when len({words}) < {n} then list_distinct({words})
-      else list_distinct(list_transform(range(1, len({words}) - {n} + 2),
-        lambda i: array_to_string({words}[i:i + {n - 1}], ' '))) end)"""
-
-
-def _chars(value, n):
-    return f"""(case when length({value}) < {n} then [{value}]
-      else list_distinct(list_transform(range(1, length({value}) - {n} + 2), lambda i: substring({value}, i, {n}))) end)"""
+def _sets(value, n, name="sets", unit="word", source="docs"):
+    """Distinct n-grams per notice, as rows (``<name>_rows``) and as a list."""
+    split, joint = (" ", " || ' ' || ") if unit == "word" else ("", " || ")
+    gram = joint.join(["w", *[f"lead(w, {k}) over following" for k in range(1, n)]])
+    leads = ", ".join(f"lead(w, {k}) over following" for k in range(1, n))
+    # concat skips the missing ones, so the first row of a short text gives the whole text.
+    short = "w" if unit == "word" else f"case when i = 1 then concat(w, {leads}) end"
+    return f"""
+{name}_tokens as (
+  select notice_id, unnest(string_split({value}, '{split}')) as w,
+    generate_subscripts(string_split({value}, '{split}'), 1) as i
+  from {source} where {value} <> ''),
+{name}_rows as materialized (
+  select distinct notice_id, s from (
+    select notice_id, case when count(*) over (partition by notice_id) < {n} then {short} else {gram} end as s
+    from {name}_tokens window following as (partition by notice_id order by i))
+  where s is not null),
+{name} as materialized (
+  select notice_id, coalesce(list(s) filter (s is not null), []) as shingles
+  from {source} left join {name}_rows using (notice_id) group by notice_id)"""
 
 
 def _hash60(value):
@@ -63,11 +71,11 @@ clusters as materialized (
     doc_id - min(doc_id) over (partition by text) as copy_index, lang as archetype
   from documents)"""
 
-PAIRS = f"""
+PAIRS = f"""{_sets("naive", 3, "openers")},
 lows as materialized (
-  select notice_id, portal_id, estimated_value, length(naive) as size,
-    coalesce(list_min(list_transform({_grams("naive", 3)}, lambda s: {_hash60("s")})), -1) as lowest
-  from docs),
+  select notice_id, portal_id, estimated_value, length(any_value(naive)) as size,
+    coalesce(min({_hash60("s")}), -1) as lowest
+  from docs left join openers_rows using (notice_id) group by notice_id, portal_id, estimated_value),
 starred as (
   select distinct * from (
     select min(notice_id) over (partition by lowest) as id_a, notice_id as id_b from lows
@@ -80,10 +88,6 @@ pairs as materialized (
   from starred join lows a on a.notice_id = id_a join lows b on b.notice_id = id_b)"""
 
 
-def _sets(value, name="sets"):
-    return f"{name} as materialized (select notice_id, {value} as shingles from docs)"
-
-
 def _scored(sets="sets", name="scored"):
     return f"""
 {name} as materialized (
@@ -99,7 +103,7 @@ def _sigs(sets="sets", k=lsh.K, tag=""):
     family = ", ".join(f"({i}, {a}, {b})" for i, (a, b) in enumerate(hash_family(k)))
     return f"""
 hashed{tag} as materialized (
-  select notice_id, {_hash60("s")} % {PRIME} as h from (select notice_id, unnest(shingles) as s from {sets})),
+  select notice_id, {_hash60("s")} % {PRIME} as h from {sets}_rows),
 sigs{tag} as materialized (
   select notice_id, i, min((h * a + b) % {PRIME}) as m
   from hashed{tag}, (values {family}) as family(i, a, b) group by notice_id, i)"""
@@ -152,8 +156,8 @@ def _select(columns):
     return "select " + ", ".join(f"{v} as {k}" for k, v in columns.items())
 
 
-WORD2 = _sets(_grams("processed", 2))
-WORD3 = _sets(_grams("processed", 3))
+WORD2 = _sets("processed", 2)
+WORD3 = _sets("processed", 3)
 BANDED = f"with {DOCS}, {WORD2}, {_sigs()}, {_posts(lsh.ROWS)}"
 LEVEL = "case when united > 0 then 100 * shared // united else 0 end"
 
@@ -183,7 +187,7 @@ verified as materialized (
   where fa.estimated_value = fb.estimated_value
     and cast(len(list_intersect(a.shingles, b.shingles)) as double)
       / (len(a.shingles) + len(b.shingles) - len(list_intersect(a.shingles, b.shingles))) >= {verify.THRESHOLD})"""
-VERIFIED = f"{BANDED}, {_candidates()}, {_sets(_grams('processed', 3), 'sets3')}, {VERIFIED_FROM}"
+VERIFIED = f"{BANDED}, {_candidates()}, {_sets('processed', 3, 'sets3')}, {VERIFIED_FROM}"
 
 LINKS = """
 links as materialized (
@@ -212,21 +216,11 @@ early as (select doc_id as notice_id from labels),
 carried as (select distinct new.component, old.component as old_id from old join new using (notice_id)),
 kept as (select component, min('CARD-' || old_id) as kept_id from carried group by component)"""
 
-REPRESENTATION_TEXTS = {
-    ("raw", "char", 5): _chars("raw", 5),
-    ("raw", "word", 2): _grams("raw", 2),
-    ("processed", "char", 5): _chars("processed", 5),
-    ("processed", "word", 1): _grams("processed", 1),
-    ("processed", "word", 2): _grams("processed", 2),
-    ("processed", "word", 3): _grams("processed", 3),
-}
-
-
 def _representations():
     ctes, rows = [], []
     for i, (name, cleaner, unit, n) in enumerate(evaluate.REPRESENTATIONS):
         ctes += [
-            _sets(REPRESENTATION_TEXTS[(cleaner, unit, n)], f"sets{i}"),
+            _sets(cleaner, n, f"sets{i}", unit),
             _scored(f"sets{i}", f"scored{i}"),
             f"""best{i} as (
   select step, case when tp > 0 then 2 * tp / (tp + fp + same) else 0.0 end as f1 from (
@@ -247,14 +241,11 @@ from scored{i}""")
 
 def _mitigations():
     ctes = [
-        _sets(_grams("processed", 2)),
-        _sets(_grams("processed", 3), "sets3"),
+        WORD2,
+        _sets("processed", 3, "sets3"),
         f"""rare as (
-  select s from (select unnest(shingles) as s from sets) group by s
-  having count(*) <= (select floor(count(*) * {lsh.DF_SHARE}) from sets)),
-pruned as materialized (
-  select notice_id, list(s) as shingles from (select notice_id, unnest(shingles) as s from sets)
-  where s in (select s from rare) group by notice_id)""",
+  select s from sets_rows group by s having count(*) <= (select floor(count(*) * {lsh.DF_SHARE}) from sets)),
+pruned_rows as materialized (select notice_id, s from sets_rows where s in (select s from rare))""",
     ]
     source = {2: "sets", 3: "sets3"}
     made, rows = {}, []
@@ -277,7 +268,7 @@ def _naive_vs_processed():
     ctes, rows = [], []
     for how in ("naive", "processed"):
         ctes += [
-            _sets(_grams(how, 2), f"sets_{how}"),
+            _sets(how, 2, f"sets_{how}"),
             _sigs(f"sets_{how}", tag=f"_{how}"),
             _posts(lsh.ROWS, f"_{how}"),
             _candidates(f"_{how}", name=f"cands_{how}"),
@@ -292,7 +283,7 @@ def _bucket_stats():
         part = _summary(f"_{bands}")
         columns = ("buckets", "multi_buckets", "max_bucket_size", "bucket_pairs")
         rows.append(_select({"bands": bands, "rows": per_band, **{c: part[c] for c in columns}}))
-    ctes = [_sets(_grams("naive", 2))]
+    ctes = [_sets("naive", 2)]
     for bands, per_band in ((16, 8), (32, 4)):
         ctes += [_sigs(tag=f"_{bands}"), _posts(per_band, f"_{bands}")]
     return f"with {DOCS}, {', '.join(ctes)} {' union all '.join(rows)}"
@@ -307,7 +298,7 @@ top as (select * from sizes where band_id = {notices.WINNING_BAND} order by buck
 members as (select notice_id from posts semi join top using (band_id, bucket_id)),
 scored as (
   select notice_id, hash_no, s as shingle, ({_hash60("s")} % {PRIME} * a + b) % {PRIME} as value
-  from (select notice_id, unnest(shingles) as s from sets semi join members using (notice_id)),
+  from sets_rows semi join members using (notice_id),
     (values {values}) as family(hash_no, a, b))
 select notice_id, hash_no, shingle, value from scored
 qualify row_number() over (partition by notice_id, hash_no order by value, shingle) = 1"""
@@ -323,9 +314,8 @@ from (select *, {processed} as processed from {table})"""
 
 
 PROBE = f"""{BANDED},
-batch_sets as materialized (
-  select item_id as notice_id, {_grams(_processed("''", "text"), 2)} as shingles from benchmark),
-{_sigs("batch_sets", tag="_batch")}, {_posts(lsh.ROWS, "_batch")}
+batch as materialized (select item_id as notice_id, {_processed("''", "text")} as processed from benchmark),
+{_sets("processed", 2, "batch_sets", source="batch")}, {_sigs("batch_sets", tag="_batch")}, {_posts(lsh.ROWS, "_batch")}
 select q.notice_id as incoming_id, p.notice_id, count(*) as shared_bands
 from posts_batch q join posts p using (band_id, bucket_id) group by all"""
 
@@ -357,16 +347,17 @@ select count(*) as pairs, count(*) filter ((a.cluster_id = b.cluster_id) <> (lab
 from pairs join clusters a on a.notice_id = id_a join clusters b on b.notice_id = id_b""",
     "cleaned_documents": _digests("documents", "doc_id", "''", "text"),
     "cleaned_pages": _digests("pages", "page_id", "url", "html"),
-    "shingle_counts": f"""with {DOCS}
-select notice_id, cast(len({_chars("raw", 5)}) as integer) as raw_char5,
-  cast(len({_chars("processed", 5)}) as integer) as char5, cast(len({_grams("processed", 1)}) as integer) as word1,
-  cast(len({_grams("processed", 2)}) as integer) as word2, cast(len({_grams("processed", 3)}) as integer) as word3
-from docs""",
+    "shingle_counts": f"""with {DOCS}, {_sets("raw", 5, "r5", "char")}, {_sets("processed", 5, "c5", "char")},
+{_sets("processed", 1, "w1")}, {_sets("processed", 2, "w2")}, {_sets("processed", 3, "w3")}
+select notice_id, cast(len(r5.shingles) as integer) as raw_char5, cast(len(c5.shingles) as integer) as char5,
+  cast(len(w1.shingles) as integer) as word1, cast(len(w2.shingles) as integer) as word2,
+  cast(len(w3.shingles) as integer) as word3
+from r5 join c5 using (notice_id) join w1 using (notice_id) join w2 using (notice_id) join w3 using (notice_id)""",
     "document_frequency": f"""with {DOCS}, {WORD2},
-counts as (select s, count(*) as df from (select unnest(shingles) as s from sets) group by s)
+counts as (select s, count(*) as df from sets_rows group by s)
 select df, count(*) as shingles from counts group by df""",
     "frequent_shingles": f"""with {DOCS}, {WORD2}
-select s as shingle, count(*) as df from (select unnest(shingles) as s from sets) group by s
+select s as shingle, count(*) as df from sets_rows group by s
 having count(*) > (select floor(count(*) * {lsh.DF_SHARE}) from documents)""",
     "portal_prefixes": r"""with ends as (
   select regexp_extract(url, '^https?://[^/]*\.([a-z]+)', 1) as portal_id, count(*) as notices, min(html) as lowest,
