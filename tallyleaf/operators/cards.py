@@ -86,21 +86,24 @@ def mint_cards(members: DataFrame, notices: DataFrame, order=("notice_id",)) ->
     return joined.select(new_card_id(F.col("representative_id")).alias("card_id"), "notice_id")
 
 
-def update_cards(stored: DataFrame, members: DataFrame, notices: DataFrame, order=("notice_id",)):
+def update_cards(stored: DataFrame, members: DataFrame, notices: DataFrame, now, order=("notice_id",)):
     """Carry card ids over to a new grouping. ``stored`` is (card_id, created_at, notice_id).
 
     A component with stored cards keeps the oldest; the others redirect to it. A component without one gets
-    a new card. Returns (membership, redirects).
+    a new card created ``now``. Returns (membership, redirects), the membership with the columns of ``stored``.
     """
     carried = stored.join(members, "notice_id").groupBy("component", "card_id").agg(
         F.min("created_at").alias("created_at")
     )
     kept = carried.groupBy("component").agg(F.min(F.struct("created_at", "card_id")).alias("oldest"))
-    kept = kept.select("component", F.col("oldest.card_id").alias("kept_id"))
+    kept = kept.select(
+        "component", F.col("oldest.card_id").alias("kept_id"), F.col("oldest.created_at").alias("kept_at")
+    )
     named = representatives(members, notices, order).join(kept, "component", "left")
     card = F.coalesce(F.col("kept_id"), new_card_id(F.col("representative_id")))
-    cards = named.select("component", card.alias("card_id"))
-    membership = salted_join(members, cards, ["component"], ["notice_id"]).select("card_id", "notice_id")
+    cards = named.select("component", card.alias("card_id"), F.coalesce("kept_at", F.lit(now)).alias("created_at"))
+    membership = salted_join(members, cards, ["component"], ["notice_id"])
+    membership = membership.select("card_id", "created_at", "notice_id")
     redirects = carried.join(kept, "component").where("card_id <> kept_id")
     return membership, redirects.select(
         F.col("card_id").alias("old_card_id"), F.col("kept_id").alias("canonical_card_id")

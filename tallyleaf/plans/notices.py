@@ -291,12 +291,12 @@ def _rerun(spark, folder):
     first = cards.mint_cards(cards.card_members(early, cards.card_links(early)), early)
     stored = cut_lineage(first.withColumn("created_at", F.lit("2024-01-01")))
     members = cut_lineage(cards.card_members(every, cards.card_links(every)))
-    return cards.update_cards(stored, members, every)
+    return cards.update_cards(stored, members, every, "2024-01-08")
 
 
 def card_rerun(spark, folder):
     """Cards of all documents when those with a quality label already had cards."""
-    return _rerun(spark, folder)[0]
+    return _rerun(spark, folder)[0].drop("created_at")
 
 
 def card_redirects(spark, folder):
