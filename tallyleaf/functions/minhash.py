@@ -58,7 +58,8 @@ def signature(hashes: Column, k: int) -> Column:
                 out.iloc[i] = row
         return out
 
-    return minima(hashes)
+    # The flag only tells the optimizer not to copy the call into conditions pushed below it.
+    return minima.asNondeterministic()(hashes)
 
 
 def band_buckets(sig: Column, bands: int, rows: int) -> Column:

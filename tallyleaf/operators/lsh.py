@@ -64,9 +64,12 @@ def sketch(shingled: DataFrame, k=K, bands=BANDS, rows=ROWS) -> DataFrame:
 
 
 def postings(sketches: DataFrame) -> DataFrame:
-    """One row per notice and band."""
+    """One row per notice and band.
+
+    Buckets are never empty; the outer form keeps Spark from adding a condition that computes them twice.
+    """
     kept = [c for c in sketches.columns if c != "buckets"]
-    return sketches.select(*kept, F.posexplode("buckets").alias("band_id", "bucket_id"))
+    return sketches.select(*kept, F.posexplode_outer("buckets").alias("band_id", "bucket_id"))
 
 
 def bucket_sizes(posted: DataFrame, within=BUCKET) -> DataFrame:
