@@ -1,6 +1,6 @@
 """Token ids of all documents in wavelet files, and reading them back."""
 
-import re
+import os
 import zlib
 
 import numpy as np
@@ -16,48 +16,66 @@ BITS = 16
 #: Ids of one file, unless a single document has more.
 SHARD = 1 << 20
 #: Pieces of text whose ids a worker remembers.
-MEMORY = 400_000
-PLAIN = re.compile(r"[A-Za-z]+").fullmatch
+MEMORY = 300_000
+#: Documents that are encoded together.
+TOGETHER = 32
 SHARDS = "part int, number int, before long, n_tokens long, payload binary"
 
 
+def _runs(piece):
+    """How many runs a piece of letters and closing punctuation has, 0 for any other piece.
+
+    A run gives at least one token that ends a word, so if pieces together give as many as they have runs, each gave its own.
+    """
+    core = piece.rstrip(".,;:!?")
+    return (1 + (len(core) < len(piece))) if core.isalpha() else 0
+
+
 class PieceEncoder:
     """Encodes texts piece by piece: blanks and line ends always separate tokens and give none themselves.
 
-    Ids of a piece are remembered, as most pieces come again. New pieces of plain letters are encoded
-    many at a time, joined by blanks; each gives exactly one token that ends a word, which tells where it ends.
+    Ids of a piece are remembered as little-endian bytes, as most pieces come again. New pieces of letters are encoded
+    many at a time, joined by blanks, and taken apart at the tokens that end a word.
     """
 
     def __init__(self, file):
+        # One thread per task: the other cores have tasks of their own.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
         ends = sorted((i, t.endswith("</w>")) for t, i in self.tokenizer.get_vocab().items())
         self.word_ends = np.array([e for _, e in ends], dtype=bool)
-        self.known, self.ids = {"": np.zeros(0, np.uint32)}, None
+        self.known = {"": b""}
 
     def _learn(self, pieces):
-        plain = [p for p in pieces if PLAIN(p)]
-        other = [p for p in pieces if not PLAIN(p)]
-        groups = [plain[i : i + 256] for i in range(0, len(plain), 256)]
-        texts = [" ".join(g) for g in groups] + other
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        runs = [_runs(p) for p in pieces]
+        single = [p for p, n in zip(pieces, runs) if not n]
+        plain = [(p, n) for p, n in zip(pieces, runs) if n]
+        groups = [plain[i : i + 512] for i in range(0, len(plain), 512)]
+        found = self.tokenizer.encode_batch([" ".join(p for p, _ in g) for g in groups], add_special_tokens=False)
         for group, encoded in zip(groups, found):
-            ids = np.array(encoded.ids, dtype=np.uint32)
-            ends = np.flatnonzero(self.word_ends[ids]) + 1
-            self.known.update(zip(group, np.split(ids, ends[:-1])))
-        self.known.update((p, np.array(e.ids, dtype=np.uint32)) for p, e in zip(other, found[len(groups) :]))
-
-    def encode(self, text):
-        pieces = text.replace("\n", " ").split(" ")
+            ids = np.array(encoded.ids, dtype="<u4")
+            ends, last = np.flatnonzero(self.word_ends[ids]), np.cumsum([n for _, n in group])
+            if len(ends) != last[-1]:
+                single += [p for p, _ in group]
+                continue
+            cuts, raw = (4 * ends[last - 1] + 4).tolist(), ids.tobytes()
+            self.known.update(zip([p for p, _ in group], [raw[s:e] for s, e in zip([0, *cuts], cuts)]))
+        for piece, encoded in zip(single, self.tokenizer.encode_batch(single, add_special_tokens=False)):
+            self.known[piece] = np.array(encoded.ids, dtype="<u4").tobytes()
+
+    def encode(self, texts):
+        """The ids of each text as an array."""
+        split = [t.replace("\n", " ").split(" ") for t in texts]
         known = self.known
-        new = {p for p in pieces if p not in known}
+        new = set().union(*split).difference(known)
         if new:
             if len(known) + len(new) > MEMORY:
                 known.clear()
-                new = set(pieces)
-            self._learn(new)
-        return np.concatenate([known[p] for p in pieces])
+                new = set().union(*split)
+            self._learn(sorted(new))
+        return [np.frombuffer(b"".join([known[p] for p in pieces]), "<u4") for pieces in split]
 
 
 def _write(file, end_id, bits, shard):
@@ -74,14 +92,16 @@ def _write(file, end_id, bits, shard):
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds)], names)
 
         for batch in batches:
-            for at in range(batch.num_rows):
-                part = batch.column(2)[at].as_py()
-                ids = np.append(encoder.encode(batch.column(1)[at].as_py()), np.uint32(end_id))
-                if held and size + len(ids) > shard:
-                    yield packed()
-                    number, before, held, size = number + 1, before + size, [], 0
-                held.append((batch.column(0)[at].as_py(), ids))
-                size += len(ids)
+            for at in range(0, batch.num_rows, TOGETHER):
+                some = batch.slice(at, TOGETHER)
+                part = some.column(2)[0].as_py()
+                for doc_id, ids in zip(some.column(0).to_pylist(), encoder.encode(some.column(1).to_pylist())):
+                    ids = np.append(ids.astype(np.uint16 if bits <= 16 else np.uint32), np.array(end_id, np.uint16))
+                    if held and size + len(ids) > shard:
+                        yield packed()
+                        number, before, held, size = number + 1, before + size, [], 0
+                    held.append((doc_id, ids))
+                    size += len(ids)
         if held:
             yield packed()
 
