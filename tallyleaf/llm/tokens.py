@@ -16,7 +16,7 @@ BITS = 16
 #: Ids of one file, unless a single document has more.
 SHARD = 1 << 20
 #: Pieces of text whose ids a worker remembers.
-MEMORY = 300_000
+MEMORY = 600_000
 #: Documents that are encoded together.
 TOGETHER = 32
 SHARDS = "part int, number int, before long, n_tokens long, payload binary"
@@ -53,7 +53,7 @@ class PieceEncoder:
         single = [p for p, n in zip(pieces, runs) if not n]
         plain = [(p, n) for p, n in zip(pieces, runs) if n]
         groups = [plain[i : i + 512] for i in range(0, len(plain), 512)]
-        found = self.tokenizer.encode_batch([" ".join(p for p, _ in g) for g in groups], add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast([" ".join(p for p, _ in g) for g in groups], add_special_tokens=False)
         for group, encoded in zip(groups, found):
             ids = np.array(encoded.ids, dtype="<u4")
             ends, last = np.flatnonzero(self.word_ends[ids]), np.cumsum([n for _, n in group])
@@ -62,7 +62,7 @@ class PieceEncoder:
                 continue
             cuts, raw = (4 * ends[last - 1] + 4).tolist(), ids.tobytes()
             self.known.update(zip([p for p, _ in group], [raw[s:e] for s, e in zip([0, *cuts], cuts)]))
-        for piece, encoded in zip(single, self.tokenizer.encode_batch(single, add_special_tokens=False)):
+        for piece, encoded in zip(single, self.tokenizer.encode_batch_fast(single, add_special_tokens=False)):
             self.known[piece] = np.array(encoded.ids, dtype="<u4").tobytes()
 
     def encode(self, texts):
