@@ -81,17 +81,6 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(both / union)
 
 
-def signature_matches(sig_a: Column, sig_b: Column, k: int) -> Column:
-    """How many of the first k positions agree."""
-    pairs = F.zip_with(F.slice(sig_a, 1, k), F.slice(sig_b, 1, k), lambda x, y: x == y)
-    return F.size(F.filter(pairs, lambda same: same))
-
-
 def candidate_probability(s: Column, bands: int, rows: int) -> Column:
     """Chance that banding proposes a pair of similarity s."""
     return 1 - F.pow(1 - F.pow(s, F.lit(rows)), F.lit(bands))
-
-
-def band_threshold(bands, rows):
-    """Similarity at which banding starts to propose most pairs."""
-    return (1 / bands) ** (1 / rows)

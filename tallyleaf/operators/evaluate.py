@@ -139,8 +139,8 @@ def _representation(sets, pairs, name):
     return best.select(
         F.lit(name).alias("representation"),
         F.round(F.col("shingles") / (2 * (F.col("same") + F.col("different"))), 6).alias("mean_shingles"),
-        F.round(F.col("same_sum") / F.col("same"), 6).alias("same_mean"),
-        F.round(F.col("different_sum") / F.col("different"), 6).alias("different_mean"),
+        F.round(F.try_divide("same_sum", "same"), 6).alias("same_mean"),
+        F.round(F.try_divide("different_sum", "different"), 6).alias("different_mean"),
         "different_max",
         "same_min",
         F.col("f1").alias("best_f1"),

@@ -37,7 +37,7 @@ def is_revenue(line_type: Column) -> Column:
 
 
 def revenue_treatment(line_type: Column) -> Column:
-    return F.when(is_revenue(line_type), "YES (Counts as Revenue)").otherwise("NO (Non-Revenue / Bill Total / Tax)")
+    return F.when(is_revenue(line_type), "revenue").otherwise("not revenue")
 
 
 def with_revenue(lines: DataFrame) -> DataFrame:

@@ -117,12 +117,13 @@ def large_buckets(sizes: DataFrame, cap=CAP) -> DataFrame:
 
 
 def capped_candidates(posted: DataFrame, sizes: DataFrame, cap=CAP, within=BUCKET) -> DataFrame:
-    """Distinct pairs that share a bucket of at most ``cap`` notices: at most cap - 1 partners per band.
+    """Distinct pairs that share a bucket of at most ``cap`` notices (of any size if None).
 
     Larger buckets are left to ``count_candidates`` and to ``verify``, which treat them exactly.
     """
     kept = posted.select(*within, "notice_id")
-    kept = salted_join(kept, large_buckets(sizes, cap), within, ["notice_id"], "left_anti")
+    if cap is not None:
+        kept = salted_join(kept, large_buckets(sizes, cap), within, ["notice_id"], "left_anti")
     other = kept.withColumnRenamed("notice_id", "id_b")
     pairs = kept.withColumnRenamed("notice_id", "id_a").join(other, [*within])
     return pairs.where("id_a < id_b").select("id_a", "id_b").distinct()

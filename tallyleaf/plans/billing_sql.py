@@ -142,8 +142,8 @@ select year_month, {REVENUE} as total_revenue, count(distinct bill_no) as total_
 from fact group by year_month""",
     "line_type_audit": f"""with {SALES}
 select year_month, line_type, count(*) as line_count, {money("sum(qty * unit_price)")} as subtotal,
-  case when line_type in ('SALE', 'RETURN', 'DISCOUNT', 'VOID') then 'YES (Counts as Revenue)'
-    else 'NO (Non-Revenue / Bill Total / Tax)' end as revenue_treatment
+  case when line_type in ('SALE', 'RETURN', 'DISCOUNT', 'VOID') then 'revenue'
+    else 'not revenue' end as revenue_treatment
 from sales group by year_month, line_type""",
     "double_count_audit": f"""with {SALES}
 select year_month, {money("sum(qty * unit_price)")} as naive_total, {REVENUE} as true_revenue,

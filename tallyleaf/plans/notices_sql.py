@@ -408,7 +408,7 @@ group by all order by notices desc, portal_id limit 10""",
     "mitigations": _mitigations(),
     "work_percentiles": f"""{BANDED}
 {_select({c: _summary()[c] for c in ("notices", "p50_work", "p90_work", "p99_work", "p999_work", "max_work")})}""",
-    "candidates": f"{BANDED}, {_candidates(cap=lsh.CAP)} select * from cands",
+    "candidates": f"{BANDED}, {_candidates()} select * from cands",
     "label_recall": f"""with {DOCS}, {PAIRS}, {WORD2}, {_sigs()}, {_posts(lsh.ROWS)}, {_candidates()}
 select count(*) as hits from pairs semi join cands using (id_a, id_b) where label = 'same'""",
     "winning_shingles": _winning(),

@@ -1,7 +1,5 @@
 """Session defaults and the shared folder used to cut lineage."""
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -27,7 +25,7 @@ def build_session(app="tallyleaf", master=None, **conf):
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder: there driver and executors are one process.
+    Only a local master may do without: there driver and executors are one process, and the warehouse folder serves.
     """
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -35,7 +33,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not sc.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="tallyleaf-")
+    folder = spark.conf.get("spark.sql.warehouse.dir") + "/shared"
     sc.setCheckpointDir(folder)
     return folder
 

@@ -68,23 +68,32 @@ def read_parquet_days(spark: SparkSession, paths) -> DataFrame:
     return _typed(lines, F.trim(F.col("ts").cast("string")))
 
 
+def _matches(spark, pattern) -> bool:
+    """Whether any file fits a glob pattern, asked of whatever store the path names."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    return len(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path) or []) > 0
+
+
 def read_exports(spark: SparkSession, folder: str, formats=("csv", "parquet")) -> DataFrame:
     """All exports of a folder as one set of raw lines.
 
     The dialect follows from the store token of the file name; a token outside the lists means the comma
-    dialect. The conditions are on file metadata, so a branch opens only its own files.
+    dialect. The conditions are on file metadata, so a branch opens only its own files. A format without files is left
+    out; a folder without any export is an error.
     """
     frames = []
-    if "csv" in formats:
+    every_csv, every_parquet = f"{folder}/SALES_*.csv", f"{folder}/SALES_*.parquet"
+    if "csv" in formats and _matches(spark, every_csv):
         store = _store_of(F.col("file_name"))
-        every_csv = f"{folder}/SALES_*.csv"
         frames += [
             read_comma(spark, every_csv).where(~store.isin(*SEMICOLON_STORES, *EPOCH_STORES)),
             read_semicolon(spark, every_csv).where(store.isin(*SEMICOLON_STORES)),
             read_epoch(spark, every_csv).where(store.isin(*EPOCH_STORES)),
         ]
-    if "parquet" in formats:
-        frames.append(read_parquet_days(spark, f"{folder}/SALES_*.parquet"))
+    if "parquet" in formats and _matches(spark, every_parquet):
+        frames.append(read_parquet_days(spark, every_parquet))
+    if not frames:
+        raise ValueError(f"no sales exports in {folder}")
     return reduce(DataFrame.unionByName, frames)
 
 

@@ -1,5 +1,6 @@
 """Billing semantics on hand-written rows."""
 
+import os
 from decimal import Decimal
 
 import pytest
@@ -177,3 +178,22 @@ def test_stream_takes_a_later_resend(spark, tmp_path):
     second = send("a__R1.csv", ("S01/20240101/1", 1, 6), ("S01/20240101/1", 2, 7))
     assert [r[2] for r in second] == [6, 7, 9, 1]
     assert [r[2] for r in send("a0.csv")] == [6, 7, 9, 1]
+
+
+def test_default_formats_need_not_both_exist(spark, sales_folder, tmp_path):
+    assert exports.read_exports(spark, str(sales_folder)).count() == exports.read_exports(spark, str(sales_folder), ("csv",)).count()
+    (tmp_path / "none").mkdir()
+    with pytest.raises(ValueError):
+        exports.read_exports(spark, str(tmp_path / "none"))
+
+
+def test_golden_counts(spark):
+    """Counts measured by reading 150 real exports line by line; GOLDEN_SALES_DIR names their folder."""
+    folder = os.environ.get("GOLDEN_SALES_DIR")
+    if not folder:
+        pytest.skip("GOLDEN_SALES_DIR is not set")
+    raw = exports.read_exports(spark, folder).cache()
+    lines = ingest.latest_lines(raw)
+    by_type = {r.line_type: r["count"] for r in lines.groupBy("line_type").count().collect()}
+    assert (raw.count(), lines.count(), lines.select("bill_no").distinct().count()) == (14414, 14121, 2145)
+    assert by_type == {"SALE": 9316, "RETURN": 202, "DISCOUNT": 272, "VOID": 41, "TAX": 2145, "TENDER": 2145}
