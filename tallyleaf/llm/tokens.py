@@ -1,6 +1,10 @@
 """Token ids of all documents in wavelet files, and reading them back."""
 
 import os
+import re
+import struct
+import sys
+import types
 import zlib
 
 import numpy as np
@@ -16,72 +20,86 @@ BITS = 16
 #: Ids of one file, unless a single document has more.
 SHARD = 1 << 20
 #: Pieces of text whose ids a worker remembers.
-MEMORY = 600_000
-#: Documents that are encoded together.
+MEMORY = 1_000_000
+#: Documents that are taken out of a batch together.
 TOGETHER = 32
 SHARDS = "part int, number int, before long, n_tokens long, payload binary"
 
 
-def _runs(piece):
-    """How many runs a piece of letters and closing punctuation has, 0 for any other piece.
+class PieceEncoder(dict):
+    """Ids of pieces of text as little-endian bytes; blanks and line ends separate pieces and tokens and give none themselves.
 
-    A run gives at least one token that ends a word, so if pieces together give as many as they have runs, each gave its own.
-    """
-    core = piece.rstrip(".,;:!?")
-    return (1 + (len(core) < len(piece))) if core.isalpha() else 0
-
-
-class PieceEncoder:
-    """Encodes texts piece by piece: blanks and line ends always separate tokens and give none themselves.
-
-    Ids of a piece are remembered as little-endian bytes, as most pieces come again. New pieces of letters are encoded
-    many at a time, joined by blanks, and taken apart at the tokens that end a word.
+    A new piece of Latin letters between marks is one word and two runs of marks to the tokenizer, so each goes to its
+    model directly; their normal form and byte letters are known without it. Every other new piece goes through the
+    whole tokenizer. Most pieces come again, so their ids are remembered, in two generations: what was used since the last
+    turn survives the next, and no more than MEMORY pieces, and half as many runs, are held.
     """
 
     def __init__(self, file):
         # One thread per task: the other cores have tasks of their own.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(file)
-        ends = sorted((i, t.endswith("</w>")) for t, i in self.tokenizer.get_vocab().items())
-        self.word_ends = np.array([e for _, e in ends], dtype=bool)
-        self.known = {"": b""}
-
-    def _learn(self, pieces):
-        runs = [_runs(p) for p in pieces]
-        single = [p for p, n in zip(pieces, runs) if not n]
-        plain = [(p, n) for p, n in zip(pieces, runs) if n]
-        groups = [plain[i : i + 512] for i in range(0, len(plain), 512)]
-        found = self.tokenizer.encode_batch_fast([" ".join(p for p, _ in g) for g in groups], add_special_tokens=False)
-        for group, encoded in zip(groups, found):
-            ids = np.array(encoded.ids, dtype="<u4")
-            ends, last = np.flatnonzero(self.word_ends[ids]), np.cumsum([n for _, n in group])
-            if len(ends) != last[-1]:
-                single += [p for p, _ in group]
-                continue
-            cuts, raw = (4 * ends[last - 1] + 4).tolist(), ids.tobytes()
-            self.known.update(zip([p for p, _ in group], [raw[s:e] for s, e in zip([0, *cuts], cuts)]))
-        for piece, encoded in zip(single, self.tokenizer.encode_batch_fast(single, add_special_tokens=False)):
-            self.known[piece] = np.array(encoded.ids, dtype="<u4").tobytes()
-
-    def encode(self, texts):
-        """The ids of each text as an array."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.known
-        new = set().union(*split).difference(known)
-        if new:
-            if len(known) + len(new) > MEMORY:
-                known.clear()
-                new = set().union(*split)
-            self._learn(sorted(new))
-        return [np.frombuffer(b"".join([known[p] for p in pieces]), "<u4") for pieces in split]
+        self.model = self.tokenizer.model
+        # Composed letters, whose normal form is the lower case, and marks that never join letters or special tokens.
+        marks = r"([!-&(-/:;=?@\[-`{}~]*)"
+        self.plain = re.compile(marks + "([A-Za-zÀ-ÖØ-öø-ÿ]*)" + marks).fullmatch
+        letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.byte_letters = {ord(c): letters.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xDF, 0x100))}
+        self.older, self.runs = {}, {"": b""}
+
+    def _run(self, run):
+        """The ids of letters, or of marks, that are one word to the tokenizer."""
+        ids = self.runs.get(run)
+        if ids is None:
+            shown = run if run.isascii() else run.translate(self.byte_letters)
+            found = [t.id for t in self.model.tokenize(shown)]
+            if 2 * len(self.runs) >= MEMORY:
+                self.runs = {"": b""}
+            ids = self.runs[run] = struct.pack(f"<{len(found)}I", *found)
+        return ids
+
+    def _learn(self, piece):
+        plain = self.plain(piece)
+        if plain:
+            before, word, after = plain.groups()
+            return self._run(before) + self._run(word.lower()) + self._run(after)
+        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def __missing__(self, piece):
+        if 2 * len(self) >= MEMORY:
+            self.older = dict(self)
+            self.clear()
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self._learn(piece)
+        self[piece] = ids
+        return ids
+
+    def encode(self, text):
+        """The ids of a text as an array."""
+        return np.frombuffer(b"".join(map(self.__getitem__, text.replace("\n", " ").split(" "))), "<u4")
+
+
+def _encoder(file):
+    """The encoder of this worker process: its later tasks go on with what earlier ones loaded and learned.
+
+    It is kept on a module of its own, since functions that were pickled by value have new globals in every task.
+    """
+    kept = sys.modules.setdefault("tallyleaf_encoders", types.ModuleType("tallyleaf_encoders"))
+    if not hasattr(kept, "of"):
+        kept.of = {}
+    if file not in kept.of:
+        kept.of = {file: PieceEncoder(file)}
+    return kept.of[file]
 
 
 def _write(file, end_id, bits, shard):
     def shards(batches):
         """Files of consecutive documents of one partition."""
-        encoder, held, size, number, before, part = PieceEncoder(file), [], 0, 0, 0, None
+        encoder, held, size, number, before, part = _encoder(file), [], 0, 0, 0, None
 
         def packed():
             ids = np.concatenate([x for _, x in held])
@@ -95,7 +113,8 @@ def _write(file, end_id, bits, shard):
             for at in range(0, batch.num_rows, TOGETHER):
                 some = batch.slice(at, TOGETHER)
                 part = some.column(2)[0].as_py()
-                for doc_id, ids in zip(some.column(0).to_pylist(), encoder.encode(some.column(1).to_pylist())):
+                for doc_id, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
+                    ids = encoder.encode(text)
                     ids = np.append(ids.astype(np.uint16 if bits <= 16 else np.uint32), np.array(end_id, np.uint16))
                     if held and size + len(ids) > shard:
                         yield packed()

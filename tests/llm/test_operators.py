@@ -184,7 +184,16 @@ def encode(texts):
 
 def test_pieces_encode_as_whole_texts():
     texts = ["", "Hello, world! it's 3 o'clock\r\nÉté déjà", "é ́x İI ẞ <|endoftext|> a<|endoftext|>b", "日本 x..! ..", LONG[:500]]
-    assert [x.tolist() for x in tokens.PieceEncoder(FILE).encode(texts)] == encode(texts)
+    texts += ["'s a'S $$$É'' `a` (@) \\[x] {~} ß ÿ! × a÷b Á́a ö_ö __ BY-NC ##Ñu.& <|a|>", "x" * 3000]
+    encoder = tokens.PieceEncoder(FILE)
+    assert [encoder.encode(t).tolist() for t in texts] == encode(texts)
+
+
+def test_forgotten_pieces_are_learned_again(monkeypatch):
+    monkeypatch.setattr(tokens, "MEMORY", 6)
+    texts, encoder = ["a b c d e f g", "a b a b", "g. h a! (b)"], tokens.PieceEncoder(FILE)
+    assert [encoder.encode(t).tolist() for t in texts] == encode(texts)
+    assert len(encoder) <= 3 and len(encoder.older) <= 3
 
 
 @pytest.mark.parametrize("shard", [50, tokens.SHARD])
