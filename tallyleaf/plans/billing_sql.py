@@ -157,6 +157,9 @@ from lineitem""",
 select count(*) as total_rows, {REVENUE} as total_revenue, count(distinct bill_no) as distinct_bills,
   bit_xor({HASH}) as digest_xor, cast(sum({HASH}) % 2147483647 as bigint) as digest_sum
 from fact""",
+    "idempotent_runs": f"""with {FACT}
+select run, count(*) as rows, bit_xor({HASH}) as digest_xor, cast(sum({HASH}) % 2147483647 as bigint) as digest_sum
+from fact, (values (1), (2)) as runs(run) group by run""",
     "bill_integrity": f"""with {SALES},
 per_bill as (
   select bill_no, year_month,

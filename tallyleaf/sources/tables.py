@@ -31,13 +31,13 @@ def sent_lines(spark, folder) -> DataFrame:
     )
 
 
-def bills(spark, folder) -> DataFrame:
+def bills_of(orders) -> DataFrame:
     """One row per bill: its number, whether it was cancelled, its bill-level discount."""
     store = F.concat(F.lit("S"), F.lpad((F.col("o_orderkey") % 25).cast("string"), 2, "0"))
     day = F.replace(F.col("o_orderdate").cast("date").cast("string"), F.lit("-"), F.lit(""))
     cancelled = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT")
     rebate = (F.col("o_totalprice").cast("decimal(18,2)") * F.lit("0.01").cast("decimal(2,2)")).cast("decimal(18,2)")
-    return read(spark, folder, "orders").select(
+    return orders.select(
         "o_orderkey",
         F.concat_ws("/", store, day, F.col("o_orderkey").cast("string")).alias("bill_no"),
         cancelled.alias("cancelled"),
@@ -45,6 +45,10 @@ def bills(spark, folder) -> DataFrame:
     )
 
 
+def bills(spark, folder) -> DataFrame:
+    return bills_of(read(spark, folder, "orders"))
+
+
 def revenue_lines(spark, folder) -> DataFrame:
     """Deduplicated SALE, RETURN, VOID and DISCOUNT lines.
 
@@ -52,6 +56,11 @@ def revenue_lines(spark, folder) -> DataFrame:
     """
     orders = bills(spark, folder)
     kept = latest_lines(sent_lines(spark, folder), keys=("l_orderkey", "l_linenumber"), order=("l_shipdate",))
+    return item_lines(kept, orders).unionByName(discount_lines(orders))
+
+
+def item_lines(sent, orders, *also) -> DataFrame:
+    """SALE and RETURN lines of the sent rows, and the VOID mirror of each on a cancelled bill."""
     qty = F.col("l_quantity").cast("decimal(10,2)")
     returned = F.col("l_returnflag") == "R"
     signed = F.when(returned, -qty).otherwise(qty).cast("decimal(10,2)")
@@ -63,8 +72,8 @@ def revenue_lines(spark, folder) -> DataFrame:
 
     item = line(0, F.when(returned, "RETURN").otherwise("SALE"), signed)
     mirror = line(50, F.lit("VOID"), (-signed).cast("decimal(10,2)"))
-    items = (
-        kept.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return (
+        sent.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .withColumn("line", F.explode(F.when(F.col("cancelled"), F.array(item, mirror)).otherwise(F.array(item))))
         .select(
             "bill_no",
@@ -74,9 +83,13 @@ def revenue_lines(spark, folder) -> DataFrame:
             F.col("l_extendedprice").cast("decimal(18,2)").alias("unit_price"),
             "line.line_type",
             F.col("l_tax").cast("decimal(4,2)").alias("tax_rate"),
+            *also,
         )
     )
-    discounts = orders.where("discount is not null").select(
+
+
+def discount_lines(orders, *also) -> DataFrame:
+    return orders.where("discount is not null").select(
         "bill_no",
         F.lit(101).alias("line_no"),
         F.lit("DISC").alias("product_code"),
@@ -84,8 +97,8 @@ def revenue_lines(spark, folder) -> DataFrame:
         F.col("discount").alias("unit_price"),
         F.lit("DISCOUNT").alias("line_type"),
         F.lit(0).cast("decimal(4,2)").alias("tax_rate"),
+        *also,
     )
-    return items.unionByName(discounts)
 
 
 def all_lines(spark, folder) -> DataFrame:

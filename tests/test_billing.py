@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyleaf.operators import dims, ingest, reconcile, slices
 from tallyleaf.sources import exports, layout
+from tallyleaf.streaming import nightly
 from tallyleaf.streaming.nightly import ingest_stream
 
 COMMA = "bill_no,line_no,product_code,qty,unit_price,line_type,ts\n"
@@ -171,7 +172,7 @@ def test_stream_takes_a_later_resend(spark, tmp_path):
             1
         ).write.mode("append").parquet(str(source))
         ingest_stream(spark.readStream.schema(schema).parquet(str(source)), target, str(tmp_path / "progress"))
-        return rows(layout.read_sales(spark, target).select("bill_no", "line_no", "qty"), "bill_no", "line_no")
+        return rows(layout.read_published(spark, target).select("bill_no", "line_no", "qty"), "bill_no", "line_no")
 
     first = send("a.csv", ("S01/20240101/1", 1, 5), ("S02/20240101/1", 1, 1), ("S01/20240201/1", 1, 9))
     assert [r[2] for r in first] == [5, 9, 1]
@@ -180,6 +181,36 @@ def test_stream_takes_a_later_resend(spark, tmp_path):
     assert [r[2] for r in send("a0.csv")] == [6, 7, 9, 1]
 
 
+def test_lost_merge_leaves_the_table_and_is_repeated(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "out")
+    schema = "bill_no string, line_no int, product_code string, qty decimal(10,2), unit_price decimal(18,2), line_type string, file_name string"
+
+    def batch(name, *lines):
+        return spark.createDataFrame([(b, n, "P", Decimal(q), Decimal(2), "SALE", name) for b, n, q in lines], schema)
+
+    def stored():
+        return rows(layout.read_published(spark, target).select("bill_no", "line_no", "qty"), "bill_no", "line_no")
+
+    first = batch("a.csv", ("S01/20240101/1", 1, 5), ("S02/20240101/1", 1, 1))
+    second = batch("b.csv", ("S01/20240101/1", 1, 6), ("S01/20240101/1", 2, 7))
+    layout.create_versions(spark, target, ingest.all_sales(first).schema)
+    nightly.merge_lines(first, target, 0)
+    before = stored()
+
+    def lost(*_):
+        raise RuntimeError("lost before publishing")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(layout, "publish", lost)
+        with pytest.raises(RuntimeError):
+            nightly.merge_lines(second, target, 1)
+    assert stored() == before and [r[2] for r in before] == [5, 1]
+    nightly.merge_lines(second, target, 1)
+    assert [r[2] for r in stored()] == [6, 7, 1]
+    nightly.merge_lines(first, target, 1)
+    assert [r[2] for r in stored()] == [6, 7, 1]
+
+
 def test_default_formats_need_not_both_exist(spark, sales_folder, tmp_path):
     assert exports.read_exports(spark, str(sales_folder)).count() == exports.read_exports(spark, str(sales_folder), ("csv",)).count()
     (tmp_path / "none").mkdir()
