@@ -88,12 +88,9 @@ def bucket_stats(sizes: DataFrame) -> DataFrame:
     )
 
 
-def work_per_notice(posted: DataFrame, sizes: DataFrame, cap=None) -> DataFrame:
+def work_per_notice(posted: DataFrame, sizes: DataFrame) -> DataFrame:
     """Comparisons per notice, summed over its buckets; notices that meet nobody are left out."""
-    shared = F.col("bucket_size") > 1
-    if cap is not None:
-        shared = shared & (F.col("bucket_size") <= cap)
-    met = salted_join(posted, sizes.where(shared), BUCKET, ["notice_id"])
+    met = salted_join(posted, sizes.where("bucket_size > 1"), BUCKET, ["notice_id"])
     return met.groupBy("notice_id").agg(F.sum(F.col("bucket_size") - 1).alias("work"))
 
 
@@ -180,14 +177,9 @@ def pair_features(pairs: DataFrame, features: DataFrame, columns) -> DataFrame:
     return pairs
 
 
-def recall(same_pairs: DataFrame, sketches: DataFrame, sizes: DataFrame = None, cap=None) -> DataFrame:
+def recall(same_pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     """Adjudicated duplicates that banding proposes. Bucket ids of the two notices are compared directly,
-    so no candidate is listed; under a cap, buckets above it do not count."""
-    if cap is not None:
-        sets = large_bucket_sets(postings(sketches), sizes, cap)
-        kept = sketches.join(sets, "notice_id", "left")
-        none = F.array().cast("array<bigint>")
-        sketches = kept.withColumn("buckets", F.array_except("buckets", F.coalesce("large", none)))
+    so no candidate is listed."""
     ends = pair_features(same_pairs.select("id_a", "id_b"), sketches.select("notice_id", "buckets"), ["buckets"])
     return ends.agg(F.count_if(F.arrays_overlap("buckets_a", "buckets_b")).alias("hits"))
 

@@ -11,11 +11,11 @@ from tallyleaf.plans.billing import new_folder
 from tallyleaf.session import cut_lineage
 from tallyleaf.sources import layout, tables
 
-# The configurations compared, as (name, shingle words, bands, rows, cap, prune frequent shingles).
+# The configurations compared, as (name, shingle words, bands, rows).
 MITIGATIONS = (
-    ("Baseline", 2, 32, 4, None, False),
-    ("Rebalanced 16 x 8", 2, 16, 8, None, False),
-    ("Word 3-grams", 3, 32, 4, None, False),
+    ("Baseline", 2, 32, 4),
+    ("Rebalanced 16 x 8", 2, 16, 8),
+    ("Word 3-grams", 3, 32, 4),
 )
 WINNING_BAND = 25
 
@@ -178,16 +178,12 @@ def largest_bucket_portals(spark, folder):
     return lsh.portals_of_largest(posted, lsh.bucket_sizes(posted))
 
 
-def _retrieval_summary(sketches, cap=None):
+def _retrieval_summary(sketches):
     """Bucket statistics, work percentiles and candidates of one configuration, as one row."""
     posted = lsh.postings(sketches)
     sizes = lsh.bucket_sizes(posted)
-    work = lsh.work_percentiles(lsh.work_per_notice(posted, sizes, cap))
-    if cap is None:
-        candidates = lsh.count_candidates(posted, sizes)
-    else:
-        candidates = lsh.capped_candidates(posted, sizes, cap).agg(F.count("*").alias("unique_candidates"))
-    parts = [lsh.bucket_stats(sizes), work, candidates]
+    work = lsh.work_percentiles(lsh.work_per_notice(posted, sizes))
+    parts = [lsh.bucket_stats(sizes), work, lsh.count_candidates(posted, sizes)]
     return reduce(lambda a, b: a.join(b, "k"), [p.withColumn("k", F.lit(1)) for p in parts]).drop("k")
 
 
@@ -204,17 +200,12 @@ def mitigations(spark, folder):
     same = tables.labelled_pairs(spark, folder).where("label = 'same'")
     same = cut_lineage(same)
     total = F.lit(same.count())
-    sketches, rows = {}, []
-    for name, n, bands, per_band, cap, prune in MITIGATIONS:
-        key = (n, bands, prune)
-        if key not in sketches:
-            shingled = _shingled(spark, folder, n=n)
-            shingled = lsh.prune_frequent(shingled) if prune else shingled
-            sketches[key] = cut_lineage(lsh.sketch(shingled, bands=bands, rows=per_band).select("notice_id", "buckets"))
-        found = sketches[key]
-        sizes = lsh.bucket_sizes(lsh.postings(found))
-        hits = lsh.recall(same, found, sizes, cap).withColumn("k", F.lit(1))
-        row = _retrieval_summary(found, cap).withColumn("k", F.lit(1)).join(hits, "k").drop("k")
+    rows = []
+    for name, n, bands, per_band in MITIGATIONS:
+        sketched = lsh.sketch(_shingled(spark, folder, n=n), bands=bands, rows=per_band)
+        found = cut_lineage(sketched.select("notice_id", "buckets"))
+        hits = lsh.recall(same, found).withColumn("k", F.lit(1))
+        row = _retrieval_summary(found).withColumn("k", F.lit(1)).join(hits, "k").drop("k")
         rows.append(
             row.select(
                 F.lit(name).alias("strategy"),

@@ -119,20 +119,18 @@ sizes{tag} as materialized (
   select band_id, bucket_id, count(*) as bucket_size from posts{tag} group by band_id, bucket_id)"""
 
 
-def _candidates(tag="", cap=None, name="cands"):
-    small = f"where a.notice_id < b.notice_id" + (f" and bucket_size <= {cap}" if cap else "")
+def _candidates(tag="", name="cands"):
     return f"""
 {name} as materialized (
   select distinct a.notice_id as id_a, b.notice_id as id_b
   from posts{tag} a join posts{tag} b on a.band_id = b.band_id and a.bucket_id = b.bucket_id
-    join sizes{tag} s on s.band_id = a.band_id and s.bucket_id = a.bucket_id {small})"""
+  where a.notice_id < b.notice_id)"""
 
 
-def _summary(tag="", cap=None, cands="cands"):
+def _summary(tag="", cands="cands"):
     """Scalar subqueries of one retrieval configuration."""
-    shared = "bucket_size > 1" + (f" and bucket_size <= {cap}" if cap else "")
     work = f"""(select notice_id, sum(bucket_size - 1) as work from posts{tag} join sizes{tag} using (band_id, bucket_id)
-      where {shared} group by notice_id)"""
+      where bucket_size > 1 group by notice_id)"""
 
     def at(p):
         return f"(select coalesce(round(quantile_cont(work, {p}), 6), 0) from {work})"
@@ -240,22 +238,16 @@ from scored{i}""")
 
 
 def _mitigations():
-    ctes = [
-        WORD2,
-        _sets("processed", 3, "sets3"),
-        f"""rare as (
-  select s from sets_rows group by s having count(*) <= (select floor(count(*) * {lsh.DF_SHARE}) from sets)),
-pruned_rows as materialized (select notice_id, s from sets_rows where s in (select s from rare))""",
-    ]
+    ctes = [WORD2, _sets("processed", 3, "sets3")]
     source = {2: "sets", 3: "sets3"}
     made, rows = {}, []
-    for i, (name, n, bands, per_band, cap, prune) in enumerate(notices.MITIGATIONS):
-        key = (n, bands, prune)
+    for i, (name, n, bands, per_band) in enumerate(notices.MITIGATIONS):
+        key = (n, bands)
         if key not in made:
             made[key] = f"_{i}"
-            ctes += [_sigs("pruned" if prune else source[n], tag=f"_{i}"), _posts(per_band, f"_{i}")]
-        ctes.append(_candidates(made[key], cap, f"cands{i}"))
-        part = _summary(made[key], cap, f"cands{i}")
+            ctes += [_sigs(source[n], tag=f"_{i}"), _posts(per_band, f"_{i}")]
+        ctes.append(_candidates(made[key], f"cands{i}"))
+        part = _summary(made[key], f"cands{i}")
         hits = f"(select count(*) from same_pairs semi join cands{i} using (id_a, id_b))"
         columns = {"strategy": f"'{name}'", "hits": hits, "recall": f"{hits} / (select count(*) from same_pairs)"}
         chosen = ("unique_candidates", "bucket_pairs", "max_bucket_size", "p50_work", "p90_work", "p99_work", "max_work")
