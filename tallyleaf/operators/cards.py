@@ -32,30 +32,23 @@ def connected_components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def card_links(notices: DataFrame, threshold=verify.THRESHOLD, cap=lsh.CAP, **banding) -> DataFrame:
+def card_links(notices: DataFrame, threshold=verify.THRESHOLD, **banding) -> DataFrame:
     """Verified pairs that connect the same notices as all verified pairs do, without listing all of them.
 
-    Copies hang on their original. Buckets up to the cap give their pairs. The members of a larger bucket are
-    first compared with its lowest member only; what that leaves unconnected is then searched over rare
-    shingles, across components only.
+    Copies hang on their original. The members of a bucket are first compared with its lowest member only; what that
+    leaves unconnected is then searched over rare shingles, across components only.
     """
     firsts = cut_lineage(verify.originals(notices, **banding).select("notice_id", "estimated_value", "buckets"))
     posted = lsh.postings(firsts)
     within = verify.VALUE_BUCKET
-    sizes = lsh.bucket_sizes(posted, within)
-    small = lsh.capped_candidates(posted, sizes, cap, within)
-    members = posted.select(*within, "notice_id")
-    pivots = lsh.large_buckets(sizes, cap).join(
-        members.groupBy(*within).agg(F.min("notice_id").alias("id_a")), [*within]
-    )
-    stars = salted_join(members, pivots, within, ["notice_id"]).where("notice_id > id_a")
+    lowest = posted.groupBy(*within).agg(F.min("notice_id").alias("id_a"), F.count("*").alias("n")).where("n > 1").drop("n")
+    stars = salted_join(posted.select(*within, "notice_id"), lowest, within, ["notice_id"]).where("notice_id > id_a")
     stars = stars.select("id_a", F.col("notice_id").alias("id_b")).distinct()
-    near = cut_lineage(verify.verify(small.union(stars).distinct(), notices, threshold).select("id_a", "id_b"))
-    sets = cut_lineage(lsh.large_bucket_sets(posted, sizes, cap, within))
-    if not sets.isEmpty():
-        across = verify.large_bucket_candidates(notices, sets, threshold, connected_components(near))
-        near = near.union(verify.verify(across, notices, threshold).select("id_a", "id_b"))
-    return near.union(verify.copies_of(notices))
+    near = cut_lineage(verify.verify(stars, notices, threshold).select("id_a", "id_b"))
+    sets = cut_lineage(lsh.shared_sets(posted, lsh.bucket_sizes(posted, within), within))
+    across = verify.token_candidates(notices, sets, threshold, connected_components(near))
+    found = verify.verify(across, notices, threshold).select("id_a", "id_b")
+    return near.union(found).union(verify.copies_of(notices))
 
 
 def card_members(notices: DataFrame, links: DataFrame) -> DataFrame:

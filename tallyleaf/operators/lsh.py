@@ -1,18 +1,17 @@
 """Sketches, banded retrieval and its mitigations.
 
 A sketch is one narrow row per notice: its bucket id in every band. Everything about buckets is computed from
-sketches, never from texts. Bucket sizes are counted (pre-aggregated) before anything is joined on a bucket,
-and only buckets of bounded size are ever joined with themselves; what larger buckets hold is computed
-exactly without listing their pairs.
+sketches, never from texts. Bucket sizes are counted (pre-aggregated) before anything is joined on a bucket, and a
+bucket is joined with itself in blocks. Buckets of every size take the same path.
 """
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyleaf.functions import minhash, text
-from tallyleaf.operators.skew import salted_join
+from tallyleaf.operators.skew import meet, salted_join
 
-K, BANDS, ROWS, CAP = 128, 32, 4, 100
+K, BANDS, ROWS = 128, 32, 4
 DF_SHARE = 0.05
 BUCKET = ("band_id", "bucket_id")
 
@@ -77,6 +76,11 @@ def bucket_sizes(posted: DataFrame, within=BUCKET) -> DataFrame:
     return posted.groupBy(*within).agg(F.count("*").alias("bucket_size"))
 
 
+def pairs_among(n):
+    """Pairs among ``n`` rows; decimal, as the square of a large count leaves 64 bits."""
+    return F.floor(n.cast("decimal(19,0)") * (n - 1).cast("decimal(19,0)") / 2)
+
+
 def bucket_stats(sizes: DataFrame) -> DataFrame:
     """Buckets, buckets of several notices, largest bucket, and the pairs all buckets together would give."""
     n = F.col("bucket_size")
@@ -84,7 +88,7 @@ def bucket_stats(sizes: DataFrame) -> DataFrame:
         F.count("*").alias("buckets"),
         F.count_if(n > 1).alias("multi_buckets"),
         F.coalesce(F.max(n), F.lit(0)).alias("max_bucket_size"),
-        F.coalesce(F.sum(F.expr("bucket_size * (bucket_size - 1) div 2")), F.lit(0)).alias("bucket_pairs"),
+        F.coalesce(F.sum(pairs_among(n)), F.lit(0)).cast("long").alias("bucket_pairs"),
     )
 
 
@@ -108,53 +112,42 @@ def work_percentiles(work: DataFrame) -> DataFrame:
 _POINTS = ((0.5, "p50_work"), (0.9, "p90_work"), (0.99, "p99_work"), (0.999, "p999_work"))
 
 
-def large_buckets(sizes: DataFrame, cap=CAP) -> DataFrame:
-    """At most postings / cap of them."""
-    return sizes.where(F.col("bucket_size") > cap).drop("bucket_size")
+def shared_postings(posted: DataFrame, sizes: DataFrame, within=BUCKET) -> DataFrame:
+    """Postings of buckets that hold several notices, with ``key_rows``, the size of the bucket."""
+    shared = sizes.where("bucket_size > 1").withColumnRenamed("bucket_size", "key_rows")
+    return salted_join(posted.select(*within, "notice_id"), shared, within, ["notice_id"])
 
 
-def capped_candidates(posted: DataFrame, sizes: DataFrame, cap=CAP, within=BUCKET) -> DataFrame:
-    """Distinct pairs that share a bucket of at most ``cap`` notices (of any size if None).
-
-    Larger buckets are left to ``count_candidates`` and to ``verify``, which treat them exactly.
-    """
-    kept = posted.select(*within, "notice_id")
-    if cap is not None:
-        kept = salted_join(kept, large_buckets(sizes, cap), within, ["notice_id"], "left_anti")
-    other = kept.withColumnRenamed("notice_id", "id_b")
-    pairs = kept.withColumnRenamed("notice_id", "id_a").join(other, [*within])
-    return pairs.where("id_a < id_b").select("id_a", "id_b").distinct()
+def bucket_candidates(posted: DataFrame, sizes: DataFrame, within=BUCKET) -> DataFrame:
+    """Distinct pairs that share a bucket: as many as there are, so quadratic in a large bucket."""
+    shared = shared_postings(posted, sizes, within)
+    met = meet(shared, shared, within, ["notice_id"], ["notice_id"]).where("notice_id_a < notice_id_b")
+    return met.select(F.col("notice_id_a").alias("id_a"), F.col("notice_id_b").alias("id_b")).distinct()
 
 
-def large_bucket_sets(posted: DataFrame, sizes: DataFrame, cap=CAP, within=BUCKET) -> DataFrame:
-    """Per notice, the sorted ids of its buckets above the cap. Ids are unique across bands."""
-    members = salted_join(posted.select(*within, "notice_id"), large_buckets(sizes, cap), within, ["notice_id"])
-    return members.groupBy("notice_id").agg(F.sort_array(F.collect_list("bucket_id")).alias("large"))
+def shared_sets(posted: DataFrame, sizes: DataFrame, within=BUCKET) -> DataFrame:
+    """Per notice, the sorted ids of the buckets it shares with another. Ids are unique across bands."""
+    members = shared_postings(posted, sizes, within)
+    return members.groupBy("notice_id").agg(F.sort_array(F.collect_list("bucket_id")).alias("buckets"))
 
 
-def count_candidates(posted: DataFrame, sizes: DataFrame, cap=CAP) -> DataFrame:
-    """The exact number of distinct candidate pairs, without listing the pairs of any bucket above the cap.
+def count_candidates(posted: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The exact number of distinct candidate pairs.
 
-    Notices with the same set of large buckets are counted as one pattern with a weight: patterns that meet
-    contribute the product of their weights. Pairs from small buckets are listed and those that also meet
-    in a large bucket dropped, so ``cap`` sets the cost and never the result.
+    Notices with the same set of shared buckets are one pattern with a weight: patterns that meet contribute the product
+    of their weights, counted under the first bucket they share. So copies cost nothing; patterns that differ within
+    one bucket are met in blocks.
     """
-    sets = large_bucket_sets(posted, sizes, cap)
-    patterns = sets.groupBy("large").agg(F.count("*").alias("weight"))
-    within = patterns.agg(F.coalesce(F.sum(F.expr("weight * (weight - 1) div 2")), F.lit(0)).alias("pairs"))
-    spread = patterns.withColumn("bucket_id", F.explode("large"))
-    a = spread.select("bucket_id", F.col("large").alias("large_a"), F.col("weight").alias("weight_a"))
-    b = spread.select("bucket_id", F.col("large").alias("large_b"), F.col("weight").alias("weight_b"))
-    met = a.join(b, "bucket_id").where("large_a < large_b")
-    first = F.array_min(F.array_intersect("large_a", "large_b")) == F.col("bucket_id")
-    across = met.where(first).agg(F.coalesce(F.sum(F.expr("weight_a * weight_b")), F.lit(0)).alias("pairs"))
-    small = capped_candidates(posted, sizes, cap)
-    set_a = sets.select(F.col("notice_id").alias("id_a"), F.col("large").alias("large_a"))
-    set_b = sets.select(F.col("notice_id").alias("id_b"), F.col("large").alias("large_b"))
-    meets_again = F.coalesce(F.arrays_overlap("large_a", "large_b"), F.lit(False))
-    listed = small.join(set_a, "id_a", "left").join(set_b, "id_b", "left").where(~meets_again)
-    total = within.unionByName(across).unionByName(listed.agg(F.count("*").alias("pairs")))
-    return total.agg(F.sum("pairs").alias("unique_candidates"))
+    patterns = shared_sets(posted, sizes).groupBy("buckets").agg(F.count("*").alias("weight"))
+    within = patterns.agg(F.sum(pairs_among(F.col("weight"))).alias("pairs"))
+    listed = patterns.select("buckets", "weight", F.explode("buckets").alias("bucket_id"))
+    per_bucket = listed.groupBy("bucket_id").agg(F.count("*").alias("key_rows"))
+    counted = salted_join(listed, per_bucket, ["bucket_id"], ["buckets"])
+    met = meet(counted, counted, ["bucket_id"], ["buckets"], ["buckets", "weight"]).where("buckets_a < buckets_b")
+    first = F.array_min(F.array_intersect("buckets_a", "buckets_b")) == F.col("bucket_id")
+    product = F.col("weight_a").cast("decimal(19,0)") * F.col("weight_b").cast("decimal(19,0)")
+    total = within.unionByName(met.where(first).agg(F.sum(product).alias("pairs")))
+    return total.agg(F.coalesce(F.sum("pairs"), F.lit(0)).cast("long").alias("unique_candidates"))
 
 
 def probe(index: DataFrame, batch: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tallyleaf.functions import minhash, text
 from tallyleaf.operators import lsh
-from tallyleaf.operators.skew import salted_join
+from tallyleaf.operators.skew import meet, salted_join
 from tallyleaf.session import cut_lineage
 
 THRESHOLD = 0.45
@@ -57,8 +57,10 @@ def verify(candidates: DataFrame, notices: DataFrame, threshold=THRESHOLD) -> Da
 def prefix_tokens(notices: DataFrame, members: DataFrame, threshold=THRESHOLD) -> DataFrame:
     """The rarest shingles of each member, as many as it takes for any two sets that reach the threshold to share one.
 
-    With a set of n shingles that is n - ceil(threshold * n) + 1 of them, rarest first. Shingles only one
-    member has cannot be shared and are dropped.
+    With a set of n shingles that is n - ceil(threshold * n) + 1 of them, rarest first. Proof: two sets that reach the
+    threshold share at least ceil(threshold * n) shingles for the n of either. Leaving out the others, ceil(threshold
+    * n) - 1 of each, cannot leave out all shared ones, and as both are in the same order, the rarest shared one is kept
+    on both sides. Shingles only one member has cannot be shared and are dropped. ``key_rows`` is the frequency.
     """
     sets = shingles_of(notices, members.select("notice_id"))
     tokens = sets.select("notice_id", "estimated_value", F.size("shingles").alias("n"), F.explode("shingles").alias("token"))
@@ -69,15 +71,16 @@ def prefix_tokens(notices: DataFrame, members: DataFrame, threshold=THRESHOLD) -
     )
     keep = F.col("n") - F.ceil(F.col("n") * F.lit(threshold) - 1e-9) + 1
     kept = per_notice.select("notice_id", "estimated_value", "n", F.explode(F.slice("rarest", F.lit(1), keep.cast("int"))).alias("r"))
-    return kept.where("r.df > 1").select("notice_id", "estimated_value", "n", F.col("r.token").alias("token"))
+    shared = kept.where("r.df > 1")
+    return shared.select("notice_id", "estimated_value", "n", F.col("r.token").alias("token"), F.col("r.df").alias("key_rows"))
 
 
-def large_bucket_candidates(notices, sets, threshold=THRESHOLD, components=None) -> DataFrame:
-    """Pairs of members of large buckets that can reach the threshold, found over shared rare shingles.
+def token_candidates(notices, sets, threshold=THRESHOLD, components=None) -> DataFrame:
+    """Pairs that share a bucket, have an equal value and can reach the threshold, found over shared rare shingles.
 
-    This replaces listing the pairs of the bucket and misses none that would be verified. With
-    ``components`` (notice_id, component), pairs already connected are not looked for: under each shingle the
-    members of its biggest component are only met by the others.
+    ``sets`` holds each notice's shared buckets. The pairs of a bucket are never listed, and none is missed that would
+    be verified. With ``components`` (notice_id, component), pairs already connected are not looked for: under each
+    shingle the members of its biggest component are only met by the others.
     """
     tokens = prefix_tokens(notices, sets, threshold).join(sets, "notice_id")
     if components is None:
@@ -91,26 +94,19 @@ def large_bucket_candidates(notices, sets, threshold=THRESHOLD, components=None)
         biggest = counted.groupBy(*TOKEN).agg(F.max(F.struct("n_members", "component")).alias("big"))
         biggest = biggest.select(*TOKEN, F.col("big.component").alias("biggest"))
         met_by = salted_join(tokens, biggest, TOKEN, ["notice_id"]).where("component <> biggest").drop("biggest")
-    names = ("notice_id", "n", "large", "component")
-    a = met_by.select(*TOKEN, *[F.col(c).alias(f"{c}_a") for c in names])
-    b = tokens.select(*TOKEN, *[F.col(c).alias(f"{c}_b") for c in names])
     shorter, longer = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-    met = a.join(b, [*TOKEN]).where(F.col("component_a") != F.col("component_b"))
-    met = met.where(shorter >= longer * F.lit(threshold)).where(F.arrays_overlap("large_a", "large_b"))
-    return met.select(
+    met = meet(met_by, tokens, TOKEN, ["notice_id"], ["notice_id", "n", "buckets", "component"])
+    met = met.where(F.col("component_a") != F.col("component_b")).where(shorter >= longer * F.lit(threshold))
+    return met.where(F.arrays_overlap("buckets_a", "buckets_b")).select(
         F.least("notice_id_a", "notice_id_b").alias("id_a"), F.greatest("notice_id_a", "notice_id_b").alias("id_b")
     ).distinct()
 
 
-def verified_pairs(notices: DataFrame, threshold=THRESHOLD, cap=lsh.CAP, **banding) -> DataFrame:
+def verified_pairs(notices: DataFrame, threshold=THRESHOLD, **banding) -> DataFrame:
     """All verified pairs of originals: same bucket in some band, equal value, Jaccard at the threshold.
 
-    The value is part of the bucket key, not a filter on pairs. Buckets up to the cap are joined with
-    themselves, larger ones go through ``large_bucket_candidates``: the cap sets the cost, not the result.
+    The value is part of the bucket key, not a filter on pairs. Buckets of every size go through ``token_candidates``.
     """
     posted = lsh.postings(cut_lineage(originals(notices, **banding).select("notice_id", "estimated_value", "buckets")))
-    sizes = lsh.bucket_sizes(posted, VALUE_BUCKET)
-    small = lsh.capped_candidates(posted, sizes, cap, VALUE_BUCKET)
-    sets = cut_lineage(lsh.large_bucket_sets(posted, sizes, cap, VALUE_BUCKET))
-    found = small if sets.isEmpty() else small.union(large_bucket_candidates(notices, sets, threshold)).distinct()
-    return verify(found, notices, threshold)
+    sets = cut_lineage(lsh.shared_sets(posted, lsh.bucket_sizes(posted, VALUE_BUCKET), VALUE_BUCKET))
+    return verify(token_candidates(notices, sets, threshold), notices, threshold)

@@ -231,7 +231,7 @@ def work_percentiles(spark, folder):
 def candidates(spark, folder):
     """Distinct pairs that share a bucket, whatever its size."""
     posted = _postings(spark, folder)
-    return lsh.capped_candidates(posted, lsh.bucket_sizes(posted), cap=None)
+    return lsh.bucket_candidates(posted, lsh.bucket_sizes(posted))
 
 
 def label_recall(spark, folder):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyleaf.functions import minhash, text
 from tallyleaf.operators import cards, evaluate, lsh, verify
+from tallyleaf.operators.skew import meet
 from tallyleaf.streaming.weekly import card_stream, latest_cards
 
 
@@ -104,15 +105,14 @@ def _candidate_pairs(held):
     return {(a, b) for a, b in itertools.combinations(sorted(held), 2) if set(held[a]) & set(held[b])}
 
 
-@pytest.mark.parametrize("cap", [1, 3, 20, 1000])
-def test_candidate_count_does_not_depend_on_the_cap(buckets, cap):
+def test_candidate_count(buckets):
     found, held = buckets
     posted = lsh.postings(found)
-    counted = lsh.count_candidates(posted, lsh.bucket_sizes(posted), cap).first()[0]
+    counted = lsh.count_candidates(posted, lsh.bucket_sizes(posted)).first()[0]
     assert counted == len(_candidate_pairs(held))
 
 
-def test_capped_candidates_and_work(buckets):
+def test_bucket_candidates_and_work(buckets):
     found, held = buckets
     posted = lsh.postings(found)
     sizes = lsh.bucket_sizes(posted)
@@ -120,11 +120,8 @@ def test_capped_candidates_and_work(buckets):
     for notice, ids in held.items():
         for bucket in ids:
             members.setdefault(bucket, []).append(notice)
-    for cap in (5, 40, None):
-        kept = [m for m in members.values() if cap is None or len(m) <= cap]
-        expected = {p for m in kept for p in itertools.combinations(sorted(m), 2)}
-        got = {tuple(r) for r in lsh.capped_candidates(posted, sizes, cap).collect()}
-        assert got == expected
+    expected = {p for m in members.values() for p in itertools.combinations(sorted(m), 2)}
+    assert {tuple(r) for r in lsh.bucket_candidates(posted, sizes).collect()} == expected
     work = {}
     for m in members.values():
         if len(m) > 1:
@@ -133,6 +130,18 @@ def test_capped_candidates_and_work(buckets):
     assert {r.notice_id: r.work for r in lsh.work_per_notice(posted, sizes).collect()} == work
 
 
+@pytest.mark.parametrize("block", [1, 7, 1000])
+def test_rows_of_a_key_meet_once_in_blocks(spark, block):
+    rows = spark.range(40).selectExpr("id", "if(id < 30, 0L, id) k", "if(id < 30, 30L, 1L) key_rows")
+    met = meet(rows, rows, ["k"], ["id"], ["id"], block)
+    expected = sorted([(a, b) for a in range(30) for b in range(30)] + [(a, a) for a in range(30, 40)])
+    assert sorted((r.id_a, r.id_b) for r in met.collect()) == expected
+
+
+def test_pairs_of_a_huge_bucket_stay_exact(spark):
+    assert spark.range(1).select(lsh.pairs_among(F.lit(4_000_000_001))).first()[0] == 8_000_000_002_000_000_000
+
+
 def test_recall_counts_pairs_that_meet(spark, buckets):
     found, held = buckets
     pairs = list(itertools.combinations(sorted(held), 2))
@@ -153,10 +162,9 @@ def _verified(rows, held, originals_only=True):
     return out
 
 
-@pytest.mark.parametrize("cap", [1, 4, 1000])
-def test_verified_pairs_do_not_depend_on_the_cap(crowd, buckets, cap):
+def test_verified_pairs_are_all_pairs_that_qualify(crowd, buckets):
     notices, rows = crowd
-    got = {(r.id_a, r.id_b) for r in verify.verified_pairs(notices, cap=cap, **BANDING).collect()}
+    got = {(r.id_a, r.id_b) for r in verify.verified_pairs(notices, **BANDING).collect()}
     assert got == _verified(rows, buckets[1]) and got
 
 
@@ -174,10 +182,9 @@ def _groups(pairs, nodes):
     return {n: root(n) for n in nodes}
 
 
-@pytest.mark.parametrize("cap", [1, 4, 1000])
-def test_cards_do_not_depend_on_the_cap(crowd, buckets, cap):
+def test_cards_are_the_components_of_all_pairs(crowd, buckets):
     notices, rows = crowd
-    links = cards.card_links(notices, cap=cap, **BANDING)
+    links = cards.card_links(notices, **BANDING)
     got = {r.notice_id: r.component for r in cards.card_members(notices, links).collect()}
     assert got == _groups(_verified(rows, buckets[1], originals_only=False), [r[0] for r in rows])
 
