@@ -60,19 +60,20 @@ def prefix_tokens(notices: DataFrame, members: DataFrame, threshold=THRESHOLD) -
     With a set of n shingles that is n - ceil(threshold * n) + 1 of them, rarest first. Proof: two sets that reach the
     threshold share at least ceil(threshold * n) shingles for the n of either. Leaving out the others, ceil(threshold
     * n) - 1 of each, cannot leave out all shared ones, and as both are in the same order, the rarest shared one is kept
-    on both sides. Shingles only one member has cannot be shared and are dropped. ``key_rows`` is the frequency.
+    on both sides. Shingles only one member has are the rarest: they are never joined, only counted as kept. ``key_rows``
+    is the frequency.
     """
     sets = shingles_of(notices, members.select("notice_id"))
     tokens = sets.select("notice_id", "estimated_value", F.size("shingles").alias("n"), F.explode("shingles").alias("token"))
-    frequency = tokens.groupBy(*TOKEN).agg(F.count("*").alias("df"))
+    frequency = tokens.groupBy(*TOKEN).agg(F.count("*").alias("df")).where("df > 1")
     ranked = salted_join(tokens, frequency, TOKEN, ["notice_id"])
     per_notice = ranked.groupBy("notice_id", "estimated_value", "n").agg(
         F.sort_array(F.collect_list(F.struct("df", "token"))).alias("rarest")
     )
-    keep = F.col("n") - F.ceil(F.col("n") * F.lit(threshold) - 1e-9) + 1
-    kept = per_notice.select("notice_id", "estimated_value", "n", F.explode(F.slice("rarest", F.lit(1), keep.cast("int"))).alias("r"))
-    shared = kept.where("r.df > 1")
-    return shared.select("notice_id", "estimated_value", "n", F.col("r.token").alias("token"), F.col("r.df").alias("key_rows"))
+    alone = F.col("n") - F.size("rarest")
+    keep = F.greatest(F.col("n") - F.ceil(F.col("n") * F.lit(threshold) - 1e-9) + 1 - alone, F.lit(0)).cast("int")
+    kept = per_notice.select("notice_id", "estimated_value", "n", F.explode(F.slice("rarest", F.lit(1), keep)).alias("r"))
+    return kept.select("notice_id", "estimated_value", "n", F.col("r.token").alias("token"), F.col("r.df").alias("key_rows"))
 
 
 def token_candidates(notices, sets, threshold=THRESHOLD, components=None) -> DataFrame:
