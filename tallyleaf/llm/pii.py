@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyleaf.llm.tables import new_table
+from tallyleaf.operators.skew import salted_join
 from tallyleaf.session import cut_lineage
 
 #: Fixed values. Possessive repetition changes no match here; it keeps long runs from being tried again and again.
@@ -17,14 +19,15 @@ KINDS = (
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]+\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){15}", "phone": r"\+[0-9]"}
 BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 
-#: Terms are looked for among this many characters before and after a protected value.
-CONTEXT = 64
-TERM = r"[\p{L}][\p{L}\p{M}\p{N}]{2,}"
+#: Stands for each character of a base span when words are cut, so that what touches a span is no word of the text.
+MASK = "\uffff"
+WORD = rf"[\p{{L}}{MASK}][\p{{L}}\p{{M}}\p{{N}}{MASK}]{{2,}}"
 #: A protected value is judged from this many different texts on: what few texts hold together may be chance.
 SUPPORT = 4
 #: A term discloses a value if it gives away at least this share of the value's information content.
 DISCLOSURE = 0.8
 SPANS = "array<struct<start:int,end:int,value:string>>"
+PLACES = "array<struct<start:int,end:int>>"
 
 
 def _digits(value: Column) -> Column:
@@ -55,8 +58,11 @@ def _valid(kind, value: Column) -> Column:
     return F.lit(True)
 
 
-def find_all(text: Column, pattern: str) -> Column:
-    """All matches, leftmost first, without overlap, as (start, end, value) in code points, end exclusive."""
+def find_all(text: Column, pattern: str, wanted=None) -> Column:
+    """All matches, leftmost first, without overlap, as (start, end, value) in code points, end exclusive.
+
+    With ``wanted``, a condition on the value, only the matches that meet it.
+    """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.transform(F.split(text, pattern, -1), lambda b: F.length(b))
     pairs = F.slice(F.arrays_zip(gaps.alias("gap"), found.alias("value")), F.lit(1), F.size(found))
@@ -66,100 +72,151 @@ def find_all(text: Column, pattern: str) -> Column:
         start = state["at"] + pair["gap"]
         end = start + F.length(pair["value"])
         span = F.struct(start.alias("start"), end.alias("end"), pair["value"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
+        out = F.concat(state["out"], F.array(span))
+        if wanted is not None:
+            out = F.when(wanted(pair["value"]), out).otherwise(state["out"])
+        return F.struct(end.alias("at"), out.alias("out"))
 
     folded = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("out")), step)
     return F.when(F.size(found) > 0, folded["out"]).otherwise(none)
 
 
-MARKS = "array<struct<kind:string,start:int,end:int,value:string,before:string,after:string>>"
+MARKS = "array<struct<kind:string,start:int,end:int,value:string>>"
 
 
 def base_marks(text: Column) -> Column:
-    """The spans of all kinds, by kind and then by start, each with the characters before and after it."""
-
-    def mark(kind, s):
-        first = F.greatest(s["start"] - CONTEXT, F.lit(0))
-        return F.struct(
-            F.lit(kind).alias("kind"),
-            s["start"].alias("start"),
-            s["end"].alias("end"),
-            s["value"].alias("value"),
-            F.substring(text, first + 1, s["start"] - first).alias("before"),
-            F.substring(text, s["end"] + 1, F.lit(CONTEXT)).alias("after"),
-        )
+    """The spans of all kinds, by kind and then by start."""
 
     def of_kind(kind, pattern):
         spans = F.filter(find_all(text, pattern), lambda s: _valid(kind, s["value"]))
-        marks = F.transform(spans, lambda s: mark(kind, s))
+        marks = F.transform(
+            spans,
+            lambda s: F.struct(
+                F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value")
+            ),
+        )
         return F.when(F.rlike(text, F.lit(HINTS[kind])), marks).otherwise(F.array().cast(MARKS))
 
     return F.concat(*[of_kind(kind, pattern) for kind, pattern in KINDS])
 
 
-def terms_near(rows: DataFrame) -> DataFrame:
-    """Every term near a protected value: (key, content, entity, term, start, end), places in code points of the text."""
-    marks = rows.select("key", "content", F.explode("marks").alias("m"))
-    before = F.struct(F.greatest(F.col("m.start") - CONTEXT, F.lit(0)).alias("at"), F.col("m.before").alias("part"))
-    after = F.struct(F.col("m.end").alias("at"), F.col("m.after").alias("part"))
-    sides = marks.select(
-        "key", "content", F.xxhash64("m.kind", "m.value").alias("entity"), F.explode(F.array(before, after)).alias("s")
-    )
-    terms = sides.select("key", "content", "entity", "s.at", F.explode(find_all(F.col("s.part"), TERM)).alias("t"))
-    return terms.select(
-        "key",
-        "content",
-        "entity",
-        F.xxhash64(F.lower("t.value")).alias("term"),
-        (F.col("at") + F.col("t.start")).alias("start"),
-        (F.col("at") + F.col("t.end")).alias("end"),
-    )
+def masked(text: Column, marks: Column) -> Column:
+    """The text, as long as it is, with MASK for every character of a base span."""
+    places = F.array_sort(F.transform(marks, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"))))
+
+    def step(state, m):
+        first = F.greatest(m["start"], state["at"])
+        kept = F.substring(text, state["at"] + 1, first - state["at"])
+        parts = F.concat(state["out"], F.array(kept, F.repeat(F.lit(MASK), m["end"] - first)))
+        added = F.struct(m["end"].alias("at"), parts.alias("out"))
+        return F.when(m["end"] > state["at"], added).otherwise(state)
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    folded = F.aggregate(places, start, step)
+    whole = F.concat(F.array_join(folded["out"], ""), F.substring(text, folded["at"] + 1, F.length(text)))
+    return F.when(F.size(marks) > 0, whole).otherwise(text)
+
+
+def _term(word: Column) -> Column:
+    return F.xxhash64(F.lower(word))
+
+
+def with_words(texts: DataFrame) -> DataFrame:
+    """(content, words) per row of ``texts(content, text)``: the distinct whole words outside base spans, as hashes."""
+    marked = texts.select("content", "text", base_marks(F.col("text")).alias("marks"))
+    plain = marked.select("content", masked(F.col("text"), F.col("marks")).alias("plain"))
+    said = F.regexp_extract_all("plain", F.lit(WORD), F.lit(0))
+    words = F.filter(said, lambda w: ~F.contains(w, F.lit(MASK)))
+    return plain.select("content", F.array_distinct(F.transform(words, _term)).alias("words"))
 
 
 def term_counts(texts: DataFrame) -> DataFrame:
     """In how many documents each term occurs: (term, of_term), the term as a hash. Counted before anything is shuffled."""
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))
-    each = texts.select(F.explode(words).alias("word")).select(F.xxhash64("word").alias("term"))
+    each = with_words(texts).select(F.explode("words").alias("term"))
     return each.groupBy("term").agg(F.count("*").alias("of_term"))
 
 
-def disclosing(near: DataFrame, texts: DataFrame) -> DataFrame:
-    """(entity, term) where a term near a protected value discloses it, by counts over all documents of ``texts``.
+def protected(rows: DataFrame) -> DataFrame:
+    """(content, copies, values) of each different text with values met in at least SUPPORT different texts.
+
+    ``values`` are (entity, of_value); ``of_value`` counts documents, as ``copies`` does. No other value can disclose.
+    """
+    entities = F.array_distinct(F.transform("marks", lambda m: F.xxhash64(m["kind"], m["value"])))
+    held = rows.where(F.size("marks") > 0).select("content", entities.alias("entities"))
+    held = held.groupBy("content").agg(F.count("*").alias("copies"), F.first("entities").alias("entities"))
+    held = cut_lineage(held.select("content", "copies", F.explode("entities").alias("entity")))
+    met = held.groupBy("entity").agg(F.sum("copies").alias("of_value"), F.count("*").alias("texts"))
+    met = new_table(met.where(F.col("texts") >= SUPPORT).drop("texts"), "protected-values")
+    found = salted_join(held, met, ["entity"], ["content"])
+    values = F.collect_list(F.struct("entity", "of_value")).alias("values")
+    return new_table(found.groupBy("content").agg(F.first("copies").alias("copies"), values), "protected-texts")
+
+
+def disclosing(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """(entity, term) where a term that occurs in one text with a protected value discloses it.
 
     A term gives away PMI(t; v) = log(N n(t,v) / (n(t) n(v))) of the information content IC(v) = log(N / n(v)) of a value.
-    Both must have been met near each other in at least SUPPORT different texts.
+    All counts are of documents with whole texts. Both must have been met together in at least SUPPORT different texts.
+    As n(t,v) <= n(v), a term with n(t) > n(v)^DISCLOSURE N^(1 - DISCLOSURE) cannot disclose the value: such pairs,
+    among them all with common words, are left out before pairs are made, which changes no result.
     """
-    n_texts = float(max(texts.count(), 1))
-    met = near.groupBy("entity", "term").agg(F.count_distinct("key").alias("both"), F.count_distinct("content").alias("texts"))
-    values = near.groupBy("entity").agg(F.count_distinct("key").alias("of_value"))
-    joined = met.where(F.col("texts") >= SUPPORT).join(values, "entity").join(term_counts(texts), "term")
+    n_texts = float(max(rows.count(), 1))
+    held = protected(rows)
+
+    def most_of_term(of_value):
+        # The little more is for rounding.
+        return F.pow(of_value, F.lit(DISCLOSURE)) * F.pow(F.lit(n_texts), F.lit(1 - DISCLOSURE)) * (1 + 1e-9)
+
+    terms = term_counts(texts).where(F.col("of_term") >= SUPPORT)
+    # One of the copies, before the join: a text copied very often is then no hot key.
+    hinted = texts.where(F.rlike("text", F.lit("|".join(HINTS.values()))))
+    own = hinted.dropDuplicates(["content"]).join(held.select("content"), "content", "left_semi")
+    said = with_words(own).join(held, "content")
+    largest = F.array_max(F.transform("values", lambda v: v["of_value"]))
+    said = said.select("content", "copies", "values", largest.alias("largest"), F.explode("words").alias("term"))
+    rare = salted_join(said, terms, ["term"], ["content"]).where(F.col("of_term") <= most_of_term(F.col("largest")))
+    pairs = rare.select("term", "of_term", "copies", F.explode("values").alias("v"))
+    pairs = pairs.where(F.col("of_term") <= most_of_term(F.col("v.of_value")))
+    met = pairs.groupBy(F.col("v.entity").alias("entity"), "term", F.col("v.of_value").alias("of_value"), "of_term").agg(
+        F.sum("copies").alias("both"), F.count("*").alias("texts")
+    )
     content = F.ln(F.lit(n_texts) / F.col("of_value"))
     given = F.ln(F.lit(n_texts) * F.col("both") / (F.col("of_term") * F.col("of_value")))
-    return joined.where((content > 0) & (given >= DISCLOSURE * content)).select("entity", "term")
+    told = met.where((F.col("texts") >= SUPPORT) & (content > 0) & (given >= DISCLOSURE * content))
+    return told.select("entity", "term")
+
+
+def places_of(told: DataFrame, texts: DataFrame) -> DataFrame:
+    """(content, terms) of each different text in which terms of ``told(term)`` occur: all their places (start, end)."""
+    each = with_words(texts).select("content", F.explode("words").alias("term"))
+    met = salted_join(each, told, ["term"], ["content"])
+    met = new_table(met.groupBy("content").agg(F.collect_set("term").alias("told")), "disclosing-texts")
+    own = texts.join(met.select("content"), "content", "left_semi").dropDuplicates(["content"]).join(met, "content")
+    marked = own.select("content", "text", "told", base_marks(F.col("text")).alias("marks"))
+    plain = marked.select("content", "told", masked(F.col("text"), F.col("marks")).alias("plain"))
+    found = find_all(F.col("plain"), WORD, lambda w: ~F.contains(w, F.lit(MASK)) & F.array_contains("told", _term(w)))
+    return plain.select(
+        "content", F.transform(found, lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"))).alias("terms")
+    )
 
 
 def sanitise(docs: DataFrame) -> DataFrame:
     """(doc_id, marks, terms) per row of ``docs(doc_id, text)``: what to take out of each text.
 
-    ``marks`` are the base spans with their context, ``terms`` the places (start, end) of terms that disclose a value near
-    which they stand, without those inside a base span. Null texts count as empty, repeated rows each get their row, other
-    columns are ignored. Copies do not make a term look telling: it takes SUPPORT different texts.
+    ``marks`` are the base spans, ``terms`` the places (start, end) of terms that disclose a value, without those inside
+    or touching a base span. Terms are counted over whole texts, and a term that discloses any value is taken out
+    everywhere it occurs: in documents without the value too, since there it leads a reader to the value as well.
+    Null texts count as empty, repeated rows each get their row, other columns are ignored. Copies do not make a term
+    look telling: it takes SUPPORT different texts.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     texts = docs.select(F.col("doc_id").cast("long"), text.alias("text"))
-    rows = texts.select("doc_id", F.xxhash64("text").alias("content"), base_marks(F.col("text")).alias("marks"))
-    key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.hex("content"))
-    rows = cut_lineage(rows.withColumn("key", key))
-    near = cut_lineage(terms_near(rows))
-    told = near.join(disclosing(near, texts), ["entity", "term"]).select("key", "start", "end").distinct()
-    terms = told.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("terms"))
-    joined = rows.join(terms, "key", "left")
-    places = F.coalesce("terms", F.array().cast("array<struct<start:int,end:int>>"))
-    outside = F.filter(
-        places,
-        lambda t: ~F.exists("marks", lambda m: (m["start"] < t["end"]) & (t["start"] < m["end"])),
-    )
-    return joined.select("doc_id", "marks", outside.alias("terms"))
+    texts = texts.select("doc_id", F.xxhash64("text").alias("content"), "text")
+    rows = cut_lineage(texts.select("doc_id", "content", base_marks(F.col("text")).alias("marks")))
+    texts = texts.select("content", "text")
+    told = new_table(disclosing(rows, texts).select("term").distinct(), "disclosing-terms")
+    joined = salted_join(rows, cut_lineage(places_of(told, texts)), ["content"], ["doc_id"], "left")
+    return joined.select("doc_id", "marks", F.coalesce("terms", F.array().cast(PLACES)).alias("terms"))
 
 
 def report(found: DataFrame) -> DataFrame:

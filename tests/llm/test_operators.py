@@ -317,6 +317,50 @@ def test_pii_terms_that_disclose(spark):
     assert out == "filler2 report by  at [email] about common things 2"
 
 
+def test_pii_terms_of_whole_texts(spark):
+    far = " common" * 400
+    rows = [(i, f"Zorblax says{far} {i} mail owner@corp.com and again zorblax, xowner@corp.comé{far} ZORBLAX") for i in range(6)]
+    rows += [(100 + i, f"other{i} words common and says mail again by nobody at all") for i in range(80)]
+    rows += [(200, f"here no value but zorblax{far}"), (None, "zorblaxes and 1.2.3.4zorblax"), (None, "a zorblax of no id")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, tuple((t.start, t.end) for t in r.terms)) for r in pii.sanitise(table).collect()}
+
+    def places(text):
+        outside = [m.span() for m in re.finditer("zorblax(?!es)", text.lower())]
+        return tuple(p for p in outside if not text[: p[0]].endswith("1.2.3.4"))
+
+    assert got == {(i, places(t)) for i, t in rows}
+    assert len(places(rows[0][1])) == 3 and (200, places(rows[-3][1])) in got and places(rows[-3][1])
+
+
+def test_pii_disclosing_pairs_equal_brute_force(spark):
+    rng = np.random.default_rng(4)
+    texts = []
+    for i in range(150):
+        mails = [f"m{int(k)}@x.org" for k in rng.integers(0, 12, int(rng.integers(0, 3)))]
+        said = [f"word{'abcdefghijklmnopqrstuvwxyz'[int(k)]}" for k in rng.integers(0, 26, 3)]
+        said += [f"Near{m[1:-6]}q" for m in mails if rng.random() < 0.9]
+        texts.append(" ".join(rng.permutation([*said, *mails])))
+    texts += texts[:30] + ["rare m99@x.org"] * 9
+    values = [set(re.findall(r"m\d+@x\.org", t)) for t in texts]
+    words = [{w.lower() for w in t.split() if "@" not in w and len(w) > 2} for t in texts]
+    n, expected = len(texts), set()
+    for v in set().union(*values):
+        for w in set().union(*words):
+            both = [i for i in range(n) if v in values[i] and w in words[i]]
+            if len({texts[i] for i in both}) < pii.SUPPORT:
+                continue
+            n_v, n_w = sum(v in s for s in values), sum(w in s for s in words)
+            if np.log(n * len(both) / (n_v * n_w)) >= pii.DISCLOSURE * np.log(n / n_v):
+                expected.add((v, w))
+    table = spark.createDataFrame([(t,) for t in texts], "text string").withColumn("content", F.xxhash64("text"))
+    rows = table.select("content", pii.base_marks(F.col("text")).alias("marks"))
+    names = spark.createDataFrame([(v, w) for v in set().union(*values) for w in set().union(*words)], "v string, w string")
+    names = names.select("v", "w", F.xxhash64(F.lit("email"), "v").alias("entity"), F.xxhash64("w").alias("term"))
+    got = {(r.v, r.w) for r in pii.disclosing(rows, table.select("content", "text")).join(names, ["entity", "term"]).collect()}
+    assert got == expected and len(expected) > 3
+
+
 # Decontamination
 
 
