@@ -7,12 +7,10 @@ from pyspark.sql import functions as F
 from tallyleaf.llm import langid, mixing, qgrams, simhash, tokens
 from tallyleaf.llm.tables import new_table, read
 
-#: Stands for a missing doc_id in joins.
-NO_ID = -(2**63)
 
-
-def _key(name="doc_id"):
-    return F.coalesce(F.col(name).cast("long"), F.lit(NO_ID)).alias("_key")
+def _row(docs):
+    """All that a row holds, as one string. Rows that agree in it are the same, whichever of them goes on."""
+    return F.to_json(F.struct(*[F.col(f"`{name}`") for name in docs.columns]))
 
 
 def identify_language(spark, docs: DataFrame, sf_dir) -> DataFrame:
@@ -23,11 +21,10 @@ def identify_language(spark, docs: DataFrame, sf_dir) -> DataFrame:
 
 
 def drop_near_duplicates(spark, docs: DataFrame, sf_dir) -> DataFrame:
-    """Of each group of near duplicates the document with the least doc_id; of rows with that doc_id, one."""
-    groups = simhash.near_duplicates(docs)
-    kept = groups.where("doc_id <=> component_id").select(_key())
-    chosen = docs.withColumn("_key", _key()).join(kept, "_key", "left_semi")
-    return chosen.dropDuplicates(["_key"]).select(docs.columns)
+    """Of each group of near duplicates the row with the least doc_id, null last; among those, the least by a hash of the row."""
+    keyed = docs.withColumn("_row", F.sha2(_row(docs), 256))
+    chosen = keyed.join(simhash.survivors(keyed, "_row"), "_row", "left_semi")
+    return chosen.dropDuplicates(["_row"]).select(docs.columns)
 
 
 def drop_contaminated(spark, docs: DataFrame, sf_dir) -> DataFrame:
@@ -37,9 +34,14 @@ def drop_contaminated(spark, docs: DataFrame, sf_dir) -> DataFrame:
 
 
 def mix_sources(spark, docs: DataFrame, sf_dir) -> DataFrame:
-    """Every document as often as the mix takes it."""
-    decided = mixing.mix(docs).groupBy(_key()).agg(F.floor(F.avg("copies")).cast("int").alias("_copies"))
-    chosen = docs.withColumn("_key", _key()).join(decided.where("_copies > 0"), "_key")
+    """Every row as often as the mix takes it, by a hash of the row (64 bits) in place of its doc_id.
+
+    Rows that are the same get the sum of their copies together.
+    """
+    keyed = docs.withColumn("_row", F.xxhash64(_row(docs)))
+    units = keyed.select(F.col("_row").alias("doc_id"), "text", "source")
+    decided = mixing.mix(units).groupBy(F.col("doc_id").alias("_row")).agg(F.sum("copies").cast("int").alias("_copies"))
+    chosen = keyed.join(decided.where("_copies > 0"), "_row").dropDuplicates(["_row"])
     return chosen.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(docs.columns)
 
 

@@ -140,3 +140,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     alone = distinct.join(linked, "fp", "left").select("fp", F.coalesce("component", "first").alias("component_id"))
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return prints.join(alone, "fp").select("doc_id", hexed, "component_id")
+
+
+def survivors(docs: DataFrame, key: str) -> DataFrame:
+    """(``key``) of one row per group of near duplicates of ``docs(doc_id, text)``: the least doc_id, null last, then the least key.
+
+    Groups are those of fingerprints, whatever ids their rows have: rows without an id, or with the same one, are
+    told apart by ``key``, a string. Rows are reduced to one per fingerprint before anything is joined.
+    """
+    row = F.struct(F.isnull("doc_id").alias("missing"), F.col("doc_id").cast("long").alias("doc_id"), F.col(key).alias("key"))
+    prints = docs.select(row.alias("row"), F.col("text").cast("string")).mapInArrow(
+        _fingerprints, "doc_id struct<missing:boolean,doc_id:bigint,key:string>, fp long"
+    )
+    distinct = cut_lineage(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    roots = cut_lineage(connected_components(near_links(distinct)))
+    rooted = distinct.join(roots, distinct.fp == roots.node, "left")
+    least = rooted.groupBy(F.coalesce("root", "fp").alias("group")).agg(F.min("first").alias("least"))
+    return least.select(F.col("least.key").alias(key))

@@ -534,6 +534,43 @@ def test_pipeline_stages(spark, folder, docs):
         assert stage(spark, docs, folder).count() >= 0, name
 
 
+@pytest.fixture(scope="module")
+def odd_ids(spark):
+    """Texts without an id, with one id for many, and both as copies of others."""
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 10**6, 30)) for _ in range(120)]
+    ids = [None] * 50 + [5] * 30 + list(range(100, 140))
+    rows = [(i, t, "s" if n % 3 else None) for n, (i, t) in enumerate(zip(ids, texts))]
+    # A copy of a text under a smaller id, one without an id of a text with one, and rows that are the same.
+    rows += [(90, texts[119], "s"), (None, texts[118], "s"), (1, texts[0], "s"), rows[1], rows[60], rows[60]]
+    return rows, spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+
+
+def test_near_duplicates_are_dropped_by_row(spark, folder, odd_ids):
+    rows, table = odd_ids
+    groups = brute_components({n: slow_fingerprint(r[1]) for n, r in enumerate(rows)})
+    members = {}
+    for n, group in groups.items():
+        members.setdefault(group, []).append(rows[n])
+    best = [min((r[0] is None, r[0] or 0) for r in group) for group in members.values()]
+    got = [tuple(r) for r in corpus_pipeline.drop_near_duplicates(spark, table, folder).collect()]
+    where = {rows[n]: group for n, group in groups.items()}
+    assert sorted(where[r] for r in got) == sorted(members) and len(members) == 120
+    kept = {where[r]: (r[0] is None, r[0] or 0) for r in got}
+    assert [kept[g] for g in members] == best
+
+
+def test_rows_are_mixed_by_row(spark, folder, odd_ids):
+    rows, table = odd_ids
+    got = [tuple(r) for r in corpus_pipeline.mix_sources(spark, table, folder).collect()]
+    assert set(got) <= set(rows) and all(got.count(r) <= 2 * rows.count(r) for r in set(got))
+    sizes = {s: sum(len(r[1].split()) for r in rows if r[2] == s) for s in ("s", None)}
+    for source, target in slow_targets(sizes).items():
+        assert abs(sum(len(r[1].split()) for r in got if r[2] == source) - target) <= 30 / 2 + 1
+    again = corpus_pipeline.mix_sources(spark, table.repartition(2), folder)
+    assert sorted(map(repr, got)) == sorted(repr(tuple(r)) for r in again.collect())
+
+
 def test_registered():
     assert {*QUERIES, "pipeline"} <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
