@@ -62,6 +62,20 @@ NAMES = (
     ("cc-by", "c", "(?:cc|creative commons) (?:by|attribution)"),
 )
 
+#: Families named without a version or clause count. Their rules come last, so that any telling name around them stands alone.
+GENERIC = (
+    ("gpl", "g", "(?:(?:gnu )?general public|gnu gpl|gpl)"),
+    ("lgpl", "l", "(?:(?:gnu )?(?:lesser|library) (?:general public|gpl)|(?:gnu )?lgpl)"),
+    ("agpl", "a", "(?:(?:gnu )?affero (?:general public|gpl)|(?:gnu )?agpl)"),
+    ("mpl", "m", "(?:mozilla public|mozilla|mpl)"),
+    ("epl", "e", "(?:eclipse public|eclipse|epl)"),
+    ("bsd", "bsd", "bsd"),
+    ("apache", "apache", "apache(?: software)?(?: foundation)?"),
+    ("cc", "c", "(?:cc|creative commons)"),
+)
+#: The priority of those rules.
+LAST = 4
+
 #: The ways a license is granted, from the most to the least telling: name, priority, weight, keyword, pattern around %s.
 GRANTS = (
     ("licensed", 1, 0.95, "licensed", "(?:is |are )?(?:dual |re )?licensed (?:under|with|by) (?:the )?(?:terms of the )?%s(?: licen[cs]e)?(?: (?:v|version )?[0-9](?: [0-9])?)?"),
@@ -69,6 +83,8 @@ GRANTS = (
     ("tag", 1, 1.0, "spdx", "spdx license identifier %s(?: only| or later)?"),
     ("named", 2, 0.8, "licen", "%s(?: public| software)? licen[cs]e(?: (?:v|version )?[0-9](?: [0-9])?)?"),
     ("field", 3, 0.6, "licen", "licen[cs]e %s"),
+    # "python licensed under" names what is licensed.
+    ("adjective", 3, 0.6, "licensed", "%s licen[cs]ed(?! (?:under|with|by|to|for|from) )"),
 )
 
 #: Wording of license texts and notices themselves.
@@ -111,4 +127,7 @@ def rules():
         for _, p, weight, word, around in GRANTS:
             # The longer of the two keywords is the rarer one.
             made.append((label, p, max(keyword, word, key=len), around % name, weight))
+    for label, keyword, name in GENERIC:
+        for _, _, weight, word, around in GRANTS:
+            made.append((label, LAST, max(keyword, word, key=len), around % name, weight))
     return sorted(made, key=lambda r: r[1])

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyleaf.llm.license_rules import BASE, rules
+from tallyleaf.llm.license_rules import BASE, LAST, rules
 
 
 def normalised(text: Column) -> Column:
@@ -104,7 +104,7 @@ def scan(docs: DataFrame) -> DataFrame:
     earlier = Window.partitionBy("row", "doc_id").orderBy("d.first", F.desc("d.last"), "d.priority", "d.label")
     earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
     covered = F.lit(False)
-    for p in range(4):
+    for p in range(LAST + 1):
         reach = F.max(F.when(F.col("d.priority") <= p, F.col("d.last"))).over(earlier)
         covered = covered | ((F.col("d.priority") == p) & (reach >= F.col("d.last")))
     stands = F.col("d").isNotNull() & (F.col("d.base") | ~F.coalesce(covered, F.lit(False)))

@@ -228,6 +228,37 @@ def test_license_phrases_and_suppression(spark):
     assert len(licenses.rules()) > 250
 
 
+PLAIN = {
+    "This is licensed under the GPL.": "gpl",
+    "LGPL licensed code": "lgpl",
+    "released under the AGPL": "agpl",
+    "see the MPL license": "mpl",
+    "License: EPL": "epl",
+    "released under the BSD license": "bsd",
+    "licensed under the Apache License": "apache",
+    "under a Creative Commons license": "cc",
+    "licensed under the GNU General Public License": "gpl",
+    "licensed under the GNU Affero General Public License": "agpl",
+    "licensed under the GNU Lesser General Public License": "lgpl",
+    # The versioned name stands alone.
+    "licensed under the GPL version 2": "gpl-2",
+    "licensed under the Apache License, Version 2.0": "apache-2",
+    "released under the new BSD license": "bsd-3",
+    "licensed under CC-BY-SA": "cc-by-sa",
+    "Licensed under the LGPL 2.1 license": "lgpl-2",
+    "License: MPL-2.0": "mpl-2",
+    "GNU AGPL v3 license": "agpl-3",
+    "Python licensed under the MIT license": "mit",
+    "the apache helicopter and the cc field of a general public mail": "",
+}
+
+
+def test_license_families_without_version(spark):
+    table = spark.createDataFrame(list(enumerate(PLAIN)), "doc_id long, text string")
+    got = {list(PLAIN)[r.doc_id]: r.labels for r in licenses.report(licenses.scan(table)).collect()}
+    assert got == PLAIN
+
+
 def test_license_edges(docs, empty):
     got = licenses.report(licenses.scan(docs))
     assert got.count() == len(ROWS) and got.where("labels <> '' or score <> 0").count() == 0
