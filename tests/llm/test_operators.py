@@ -259,6 +259,17 @@ def test_license_families_without_version(spark):
     assert got == PLAIN
 
 
+def test_base_phrases_equal_brute_force(spark, folder):
+    table = read(spark, folder, "documents")
+    phrases, expected = ("under the mit license", "apache license version 2", "cc by nc"), {}
+    for r in table.select("doc_id", "text").collect():
+        words = re.findall("[a-z0-9\x80-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), r.text or ""))
+        at = [i for i in range(len(words)) for p in phrases if words[i : i + len(p.split())] == p.split()]
+        expected[r.doc_id] = (len(at), min(at, default=None), max(at, default=None))
+    got = {r.doc_id: (r.n_base, r.first_word, r.last_word) for r in QUERIES["op4_license_scan"](spark, folder).collect()}
+    assert got == expected and any(n for n, _, _ in expected.values())
+
+
 def test_license_edges(docs, empty):
     got = licenses.report(licenses.scan(docs))
     assert got.count() == len(ROWS) and got.where("labels <> '' or score <> 0").count() == 0
