@@ -613,6 +613,21 @@ def test_rows_are_mixed_by_row(spark, folder, odd_ids):
     assert sorted(map(repr, got)) == sorted(repr(tuple(r)) for r in again.collect())
 
 
+def test_pipeline_runs_its_stages_in_full(spark, folder):
+    docs = read(spark, folder, "documents")
+    known = langid.with_language(docs).select("doc_id", "_lang", "_score").collect()
+    expected = sorted(r.doc_id for r in known if r._lang != langid.UNKNOWN and r._score >= langid.LEAST_SCORE)
+    kept = corpus_pipeline.identify_language(spark, docs, folder).cache()
+    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == expected
+    prints = {r.doc_id: slow_fingerprint(r.text or "") for r in kept.collect()}
+    kept = corpus_pipeline.drop_near_duplicates(spark, kept, folder).cache()
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(brute_components(prints).values()))
+    kept = corpus_pipeline.drop_contaminated(spark, kept, folder).cache()
+    mixed = sorted(r.doc_id for r in corpus_pipeline.mix_sources(spark, kept, folder).collect())
+    got = corpus_pipeline.run(spark, folder)
+    assert sorted(r.doc_id for r in got.select("doc_id").collect()) == mixed and mixed
+
+
 def test_registered():
     assert {*QUERIES, "pipeline"} <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
