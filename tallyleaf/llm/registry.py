@@ -1,7 +1,7 @@
 """The registered queries of this subpackage, over whole tables, and their SQL twins where SQL can express them."""
 
-from tallyleaf.llm import chat, digests, langid, licenses, mixing, pii, qgrams, simhash, tokens, toxicity
-from tallyleaf.llm.tables import read
+from tallyleaf.llm import chat, digests, langid, licenses, mixing, pii, qgrams, simhash, token_counts, tokens, toxicity
+from tallyleaf.llm.tables import new_table, read
 
 
 def op1_simhash_near_dedup(spark, folder):
@@ -47,6 +47,16 @@ def op10_source_mixing(spark, folder):
     return mixing.mix(read(spark, folder, "documents"))
 
 
+def op13_token_counts(spark, folder):
+    """The counts of all prefixes are stored, and what is asked is answered from them; ``fits`` is the longest prefix within the limit."""
+    import public_tokenizers
+
+    file = public_tokenizers.path("byte_bpe_50k.json")
+    stored = new_table(token_counts.prefix_counts(read(spark, folder, "documents"), file), "prefix-counts")
+    told = token_counts.answers(stored)
+    return told.selectExpr("doc_id", "n_bytes", "n_tokens", f"n_tokens > {token_counts.LIMIT} over_limit", "fits")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -60,6 +70,7 @@ QUERIES = {
         op8_exact_dedup,
         op9_language_id,
         op10_source_mixing,
+        op13_token_counts,
     )
 }
 
