@@ -1,7 +1,7 @@
 """The registered queries of this subpackage, over whole tables, and their SQL twins where SQL can express them."""
 
-from tallyleaf.llm import chat, digests, langid, licenses, mixing, pii, qgrams, repair, simhash, token_counts, tokens
-from tallyleaf.llm import toxicity
+from tallyleaf.llm import chat, digests, langid, licenses, mixing, pii, qgrams, repair, simhash, spelling
+from tallyleaf.llm import token_counts, tokens, toxicity
 from tallyleaf.llm.tables import new_table, read
 
 
@@ -48,6 +48,10 @@ def op10_source_mixing(spark, folder):
     return mixing.mix(read(spark, folder, "documents"))
 
 
+def op11_spelling_variants(spark, folder):
+    return spelling.variants(read(spark, folder, "documents"))
+
+
 def op12_structure_repair(spark, folder):
     turns = read(spark, folder, "conversations")
     return repair.digests(turns, repair.repair(new_table(repair.damaged(turns), "damaged")))
@@ -76,6 +80,7 @@ QUERIES = {
         op8_exact_dedup,
         op9_language_id,
         op10_source_mixing,
+        op11_spelling_variants,
         op12_structure_repair,
         op13_token_counts,
     )
