@@ -84,3 +84,8 @@ def jaccard(a: Column, b: Column) -> Column:
 def candidate_probability(s: Column, bands: int, rows: int) -> Column:
     """Chance that banding proposes a pair of similarity s."""
     return 1 - F.pow(1 - F.pow(s, F.lit(rows)), F.lit(bands))
+
+
+def banding_threshold(bands: int, rows: int) -> float:
+    """The similarity about which banding turns from missing pairs to proposing them."""
+    return (1 / bands) ** (1 / rows)

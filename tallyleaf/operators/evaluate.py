@@ -1,9 +1,10 @@
 """Scores of adjudicated pairs, thresholds, and checks against truth clusters."""
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyleaf.functions import minhash, text
+from tallyleaf.functions import alignment, minhash, text
 from tallyleaf.operators import lsh
 
 # The representations compared, as (name, text, shingling, size).
@@ -204,6 +205,8 @@ def retrieval_curve(scored: DataFrame, sketches: DataFrame, bands=lsh.BANDS, row
         F.count("*").alias("pairs"),
         F.count_if(found).alias("retrieved"),
         F.round(F.avg(expected), 6).alias("expected_share"),
+        # Whether the tenth begins at or above the similarity at which banding turns from missing to proposing.
+        F.max((bin_no / 10 >= F.lit(minhash.banding_threshold(bands, rows))).cast("int")).alias("above_threshold"),
     )
 
 
@@ -273,3 +276,27 @@ def portal_prefixes(notices: DataFrame) -> DataFrame:
     )
     prefix = text.common_prefix(F.col("lowest"), F.col("highest"))
     return ends.select("portal_id", "notices", F.length(prefix).alias("prefix_length"), prefix.alias("prefix"))
+
+
+def pair_view(pairs: DataFrame, notices: DataFrame) -> DataFrame:
+    """(id_a, id_b, part, side, words) of two notices next to each other, in reading order.
+
+    The cleaned words of both are aligned along a longest common subsequence. A part is a stretch of words that is ``equal``, or
+    found on the ``left`` or the ``right`` only; the left one comes first. Texts that are equal are one part; two empty texts have none.
+    """
+    cleaned = lsh.clean(notices, "naive").select("notice_id", F.col("clean").alias("text"))
+    both = lsh.pair_features(pairs.select("id_a", "id_b"), cleaned, ["text"])
+    schema = "id_a long, id_b long, part int, side string, words string"
+
+    def viewed(batches):
+        for batch in batches:
+            for at in range(batch.num_rows):
+                id_a, id_b, left, right = (c[at].as_py() for c in batch.columns)
+                parts = list(enumerate(alignment.parts(left.split(), right.split())))
+                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string())
+                rows = [(id_a, id_b, n, side, " ".join(words)) for n, (side, words) in parts]
+                values = list(zip(*rows)) or [[]] * 5
+                names = ["id_a", "id_b", "part", "side", "words"]
+                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], names)
+
+    return both.select("id_a", "id_b", "text_a", "text_b").mapInArrow(viewed, schema)

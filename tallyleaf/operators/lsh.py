@@ -5,11 +5,12 @@ sketches, never from texts. Bucket sizes are counted (pre-aggregated) before any
 bucket is joined with itself in blocks. Buckets of every size take the same path.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyleaf.functions import minhash, text
 from tallyleaf.operators.skew import meet, salted_join
+from tallyleaf.session import cut_lineage
 
 K, BANDS, ROWS = 128, 32, 4
 DF_SHARE = 0.05
@@ -42,24 +43,50 @@ def document_frequency(shingled: DataFrame) -> DataFrame:
 
 
 def prune_frequent(shingled: DataFrame, share=DF_SHARE) -> DataFrame:
-    """Shingle sets without the frequent ones.
+    """Shingle sets without the frequent ones; a set that loses all is empty.
 
-    The bounded frequent set travels as one value, so the shingles of a notice are never shuffled.
+    The shingles are listed, the frequent ones taken out by a salted anti-join, and what is left put together per notice: so
+    neither the list of frequent shingles nor a hot one has to fit into one task.
     """
-    frequent = frequent_shingles(shingled, share).agg(F.collect_set("shingle").alias("frequent"))
-    return shingled.withColumn("shingles", F.array_except("shingles", frequent.scalar()))
+    frequent = frequent_shingles(shingled, share).select("shingle")
+    listed = shingled.select("notice_id", F.explode("shingles").alias("shingle"))
+    kept = salted_join(listed, frequent, ["shingle"], ["notice_id"], "left_anti")
+    sets = kept.groupBy("notice_id").agg(F.collect_list("shingle").alias("left"))
+    none = F.array().cast(shingled.schema["shingles"].dataType)
+    return shingled.drop("shingles").join(sets, "notice_id", "left").withColumn("shingles", F.coalesce("left", none)).drop("left")
 
 
-def sketch(shingled: DataFrame, k=K, bands=BANDS, rows=ROWS) -> DataFrame:
-    """One row of bucket ids per notice. Notices without a shingle resemble nothing and are left out.
+def hashed(shingled: DataFrame) -> DataFrame:
+    """The shingles as 60-bit hashes, for sets that are handed from step to step."""
+    kept = [c for c in shingled.columns if c not in ("clean", "shingles")]
+    return shingled.select(*kept, F.transform("shingles", minhash.hash60).alias("shingles"))
+
+
+def signed(shingled: DataFrame, k=K) -> DataFrame:
+    """The signature of every notice. Notices without a shingle resemble nothing and are left out.
 
     They are recognised by their missing signature: a condition on the shingles would be pushed below them and
     have every text cleaned and cut a second time.
     """
     kept = [c for c in shingled.columns if c not in ("clean", "shingles")]
-    hashed = shingled.select(*kept, minhash.shingle_hashes(F.col("shingles")).alias("hashes"))
-    signed = hashed.withColumn("signature", minhash.signature(F.col("hashes"), k)).where("signature is not null")
-    return signed.select(*kept, minhash.band_buckets(F.col("signature"), bands, rows).alias("buckets"))
+    if shingled.schema["shingles"].dataType.elementType.typeName() == "string":
+        residues = minhash.shingle_hashes(F.col("shingles"))
+    else:
+        residues = F.transform("shingles", lambda h: (h % minhash.PRIME).cast("int"))
+    rows = shingled.select(*kept, residues.alias("hashes"))
+    found = rows.withColumn("signature", minhash.signature(F.col("hashes"), k)).where("signature is not null")
+    return found.select(*kept, "signature")
+
+
+def banded(signatures: DataFrame, bands=BANDS, rows=ROWS) -> DataFrame:
+    """One row of bucket ids per notice, from its signature."""
+    kept = [c for c in signatures.columns if c != "signature"]
+    return signatures.select(*kept, minhash.band_buckets(F.col("signature"), bands, rows).alias("buckets"))
+
+
+def sketch(shingled: DataFrame, k=K, bands=BANDS, rows=ROWS) -> DataFrame:
+    """One row of bucket ids per notice that has a shingle."""
+    return banded(signed(shingled, k), bands, rows)
 
 
 def postings(sketches: DataFrame) -> DataFrame:
@@ -99,14 +126,32 @@ def work_per_notice(posted: DataFrame, sizes: DataFrame) -> DataFrame:
 
 
 def work_percentiles(work: DataFrame) -> DataFrame:
-    """Exact percentiles over the histogram of work, so only distinct values reach the last task."""
+    """Exact percentiles of work by rank selection; a percentile between two ranks is interpolated.
+
+    The histogram of work is dealt by ranges. Each range counts its notices, the counts before a range are summed over
+    ranges, and each range then knows the ranks of its own values, so no task sees the values of all.
+    """
     histogram = work.groupBy("work").agg(F.count("*").alias("notices"))
-    at = [F.round(F.percentile("work", F.lit(p), F.col("notices")), 6).alias(name) for p, name in _POINTS]
-    return histogram.agg(
-        F.coalesce(F.sum("notices"), F.lit(0)).alias("notices"),
-        *at,
-        F.max("work").cast("double").alias("max_work"),
-    ).na.fill(0.0)
+    count = int(work.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = histogram.repartitionByRange(count, "work").withColumn("part", F.spark_partition_id())
+    dealt = cut_lineage(dealt)
+    totals = dealt.groupBy("part").agg(F.sum("notices").alias("total"), F.max("work").alias("most"))
+    # As many rows as there are ranges.
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("part", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("offset"))
+    upto = F.sum("notices").over(Window.partitionBy("part").orderBy("work")) + F.col("offset")
+    ranked = dealt.join(offsets, "part").withColumn("upto", upto)
+    whole = totals.agg(F.coalesce(F.sum("total"), F.lit(0)).alias("n")).scalar()
+    selected, named = [], []
+    for p, name in _POINTS:
+        rank = F.lit(p) * (whole - 1)
+        # The value at a rank is the least one that more notices do not exceed.
+        for end, at in (("low", F.floor(rank)), ("high", F.ceil(rank))):
+            selected.append(F.min(F.when(F.col("upto") > at, F.col("work"))).alias(f"{name}_{end}"))
+        low, high = F.col(f"{name}_low"), F.col(f"{name}_high")
+        named.append(F.round(low + (high - low) * (rank - F.floor(rank)), 6).alias(name))
+    found = ranked.agg(*selected, F.coalesce(F.sum("notices"), F.lit(0)).alias("notices"), F.max("work").cast("double").alias("max_work"))
+    return found.select("notices", *named, "max_work").na.fill(0.0)
 
 
 _POINTS = ((0.5, "p50_work"), (0.9, "p90_work"), (0.99, "p99_work"), (0.999, "p999_work"))
@@ -151,9 +196,13 @@ def count_candidates(posted: DataFrame, sizes: DataFrame) -> DataFrame:
 
 
 def probe(index: DataFrame, batch: DataFrame) -> DataFrame:
-    """Stored notices that share a bucket with each incoming notice, and in how many bands."""
-    asked = batch.withColumnRenamed("notice_id", "incoming_id")
-    hits = asked.join(index, [*BUCKET])
+    """Stored notices that share a bucket with each incoming notice, and in how many bands.
+
+    Bucket ids differ from band to band, so the join is on the id alone: an index bucketed by it stays where it is, and
+    only the batch is shuffled.
+    """
+    asked = batch.select(F.col("notice_id").alias("incoming_id"), "bucket_id")
+    hits = asked.join(index.select("notice_id", "bucket_id"), "bucket_id")
     return hits.groupBy("incoming_id", "notice_id").agg(F.count("*").alias("shared_bands"))
 
 
@@ -177,6 +226,12 @@ def recall(same_pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     return ends.agg(F.count_if(F.arrays_overlap("buckets_a", "buckets_b")).alias("hits"))
 
 
+def within_cap(sizes: DataFrame, cap: int) -> DataFrame:
+    """The buckets a cap would leave to the pair search: given to ``count_candidates``, ``work_per_notice`` and ``capped_sets``, they
+    measure what it would save and miss. Results never come from it."""
+    return sizes.where(F.col("bucket_size") <= cap)
+
+
 def largest_bucket(sizes: DataFrame) -> DataFrame:
     """The bucket with most notices; ties go to the lowest band, then id."""
     return sizes.orderBy(F.col("bucket_size").desc(), "band_id", "bucket_id").limit(1)

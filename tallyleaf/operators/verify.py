@@ -76,6 +76,22 @@ def prefix_tokens(notices: DataFrame, members: DataFrame, threshold=THRESHOLD) -
     return kept.select("notice_id", "estimated_value", "n", F.col("r.token").alias("token"), F.col("r.df").alias("key_rows"))
 
 
+def ordered_prefix(sets: DataFrame, order: DataFrame, threshold=THRESHOLD) -> DataFrame:
+    """(notice_id, estimated_value, n, token): of each member's ``sets`` as many shingles as ``prefix_tokens`` keeps, in a given order.
+
+    Any fixed order serves, as long as all members are cut by the same one; ``order(token, df)`` puts shingles without a row first.
+    So sets that are cut in different runs can be compared.
+    """
+    tokens = sets.select("notice_id", "estimated_value", F.size("sets").alias("n"), F.explode("sets").alias("token"))
+    ranked = salted_join(tokens, order, ["token"], ["notice_id"], "left").na.fill(0, ["df"])
+    per_notice = ranked.groupBy("notice_id", "estimated_value", "n").agg(
+        F.sort_array(F.collect_list(F.struct("df", "token"))).alias("rarest")
+    )
+    keep = F.col("n") - F.ceil(F.col("n") * F.lit(threshold) - 1e-9).cast("int") + 1
+    kept = F.slice("rarest", F.lit(1), keep)
+    return per_notice.select("notice_id", "estimated_value", "n", F.explode(F.transform(kept, lambda r: r["token"])).alias("token"))
+
+
 def token_candidates(notices, sets, threshold=THRESHOLD, components=None) -> DataFrame:
     """Pairs that share a bucket, have an equal value and can reach the threshold, found over shared rare shingles.
 
@@ -111,3 +127,31 @@ def verified_pairs(notices: DataFrame, threshold=THRESHOLD, **banding) -> DataFr
     posted = lsh.postings(cut_lineage(originals(notices, **banding).select("notice_id", "estimated_value", "buckets")))
     sets = cut_lineage(lsh.shared_sets(posted, lsh.bucket_sizes(posted, VALUE_BUCKET), VALUE_BUCKET))
     return verify(token_candidates(notices, sets, threshold), notices, threshold)
+
+
+def verified_classes(notices: DataFrame, threshold=THRESHOLD, **banding) -> DataFrame:
+    """(notice_id, class_id, class_size, n_links) for every notice.
+
+    A class holds the copies of one cleaned text and value, under its lowest notice id; every two of them are a verified pair, and
+    a verified pair of originals stands for all pairs between their classes. So ``n_links`` counts every verified pair of a
+    notice, copies included, though only pairs of originals are looked for. A notice without a value or a text is alone.
+    """
+    keyed = lsh.clean(notices).select("notice_id", "estimated_value", F.md5("clean").alias("text_key"))
+    keyed = cut_lineage(keyed)
+    full = (F.col("text_key") != F.md5(F.lit(""))) & F.col("estimated_value").isNotNull()
+    keys = ["text_key", "estimated_value"]
+    sized = keyed.where(full).groupBy(*keys).agg(F.min("notice_id").alias("class_id"), F.count("*").alias("class_size"))
+    sized = cut_lineage(sized)
+    members = salted_join(keyed, sized, keys, ["notice_id"], "left")
+    pairs = verified_pairs(notices, threshold, **banding).select("id_a", "id_b")
+    ends = cut_lineage(pairs.union(pairs.select("id_b", "id_a")))
+    other = sized.select(F.col("class_id").alias("id_b"), "class_size")
+    linked = salted_join(ends, other, ["id_b"], ["id_a"]).groupBy(F.col("id_a").alias("class_id")).agg(F.sum("class_size").alias("others"))
+    counted = salted_join(members, linked, ["class_id"], ["notice_id"], "left")
+    size = F.coalesce("class_size", F.lit(1))
+    return counted.select(
+        "notice_id",
+        F.coalesce("class_id", "notice_id").alias("class_id"),
+        size.cast("long").alias("class_size"),
+        (size - 1 + F.coalesce("others", F.lit(0))).cast("long").alias("n_links"),
+    )

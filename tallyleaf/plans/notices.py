@@ -11,11 +11,14 @@ from tallyleaf.plans.billing import new_folder
 from tallyleaf.session import cut_lineage
 from tallyleaf.sources import layout, tables
 
-# The configurations compared, as (name, shingle words, bands, rows).
+# The configurations compared, as (name, shingle words, whether frequent shingles are pruned, bands, rows, bucket cap).
 MITIGATIONS = (
-    ("Baseline", 2, 32, 4),
-    ("Rebalanced 16 x 8", 2, 16, 8),
-    ("Word 3-grams", 3, 32, 4),
+    ("Baseline", 2, False, 32, 4, None),
+    ("Bucket cap 100", 2, False, 32, 4, 100),
+    ("Bucket cap 50", 2, False, 32, 4, 50),
+    ("Frequent shingles pruned", 2, True, 32, 4, None),
+    ("Rebalanced 16 x 8", 2, False, 16, 8, None),
+    ("Word 3-grams", 3, False, 32, 4, None),
 )
 WINNING_BAND = 25
 
@@ -178,12 +181,18 @@ def largest_bucket_portals(spark, folder):
     return lsh.portals_of_largest(posted, lsh.bucket_sizes(posted))
 
 
-def _retrieval_summary(sketches):
-    """Bucket statistics, work percentiles and candidates of one configuration, as one row."""
+def _retrieval_summary(sketches, same=None, cap=None):
+    """Bucket statistics, work percentiles and candidates of one configuration, as one row; of ``same`` pairs the hits.
+
+    With a cap, larger buckets count in the bucket statistics but give neither work nor candidates nor hits.
+    """
     posted = lsh.postings(sketches)
     sizes = lsh.bucket_sizes(posted)
-    work = lsh.work_percentiles(lsh.work_per_notice(posted, sizes))
-    parts = [lsh.bucket_stats(sizes), work, lsh.count_candidates(posted, sizes)]
+    met = sizes if cap is None else lsh.within_cap(sizes, cap)
+    work = lsh.work_percentiles(lsh.work_per_notice(posted, met))
+    parts = [lsh.bucket_stats(sizes), work, lsh.count_candidates(posted, met)]
+    if same is not None:
+        parts.append(lsh.recall(same, sketches if cap is None else lsh.shared_sets(posted, met)))
     return reduce(lambda a, b: a.join(b, "k"), [p.withColumn("k", F.lit(1)) for p in parts]).drop("k")
 
 
@@ -196,18 +205,19 @@ def naive_vs_processed(spark, folder):
 
 
 def mitigations(spark, folder):
-    """Recall against cost for every mitigation, one row each. Sketches are computed once per banding."""
-    same = tables.labelled_pairs(spark, folder).where("label = 'same'")
-    same = cut_lineage(same)
-    total = F.lit(same.count())
-    rows = []
-    for name, n, bands, per_band in MITIGATIONS:
-        sketched = lsh.sketch(_shingled(spark, folder, n=n), bands=bands, rows=per_band)
-        found = cut_lineage(sketched.select("notice_id", "buckets"))
-        hits = lsh.recall(same, found).withColumn("k", F.lit(1))
-        row = _retrieval_summary(found).withColumn("k", F.lit(1)).join(hits, "k").drop("k")
+    """Recall against cost for every mitigation, one row each. Texts are cut once per shingling, and signed once."""
+    same = cut_lineage(tables.labelled_pairs(spark, folder).where("label = 'same'"))
+    total, sets, signatures, sketches, rows = F.lit(same.count()), {}, {}, {}, []
+    for name, n, pruned, bands, per_band, cap in MITIGATIONS:
+        if n not in sets:
+            sets[n] = cut_lineage(lsh.hashed(_shingled(spark, folder, n=n).select("notice_id", "shingles")))
+        if (n, pruned) not in signatures:
+            signatures[n, pruned] = cut_lineage(lsh.signed(lsh.prune_frequent(sets[n]) if pruned else sets[n]))
+        key = (n, pruned, bands, per_band)
+        if key not in sketches:
+            sketches[key] = cut_lineage(lsh.banded(signatures[n, pruned], bands, per_band))
         rows.append(
-            row.select(
+            _retrieval_summary(sketches[key], same, cap).select(
                 F.lit(name).alias("strategy"),
                 "hits",
                 F.try_divide("hits", total).alias("recall"),
@@ -258,17 +268,42 @@ def index_probe(spark, folder):
     return lsh.probe(lsh_postings(spark, folder), _probe_batch(spark, folder))
 
 
-def stored_index_probe(spark, folder):
-    """The same probe against an index written by band and read back."""
+def _stored_index(spark, folder):
     path = new_folder(spark, "index")
     layout.write_lsh_index(lsh_postings(spark, folder), path)
-    return lsh.probe(spark.read.parquet(path), _probe_batch(spark, folder))
+    return layout.open_lsh_index(spark, path)
+
+
+def stored_index_probe(spark, folder):
+    """The same probe against an index that was written and read back."""
+    return lsh.probe(_stored_index(spark, folder), _probe_batch(spark, folder))
+
+
+def stored_index_lookup(spark, folder):
+    """The probe for one incoming notice, the first of the batch: its bucket ids are looked up as constants."""
+    batch = _probe_batch(spark, folder)
+    first = batch.select(F.min("notice_id")).first()[0]
+    asked = batch.where(F.col("notice_id") == F.lit(first))
+    # One notice has as many ids as there are bands.
+    ids = [r.bucket_id for r in asked.select("bucket_id").collect()]
+    return lsh.probe(layout.lookup(_stored_index(spark, folder), ids), asked)
 
 
 def verified_pairs(spark, folder):
     return verify.verified_pairs(tables.notices(spark, folder))
 
 
+def verified_classes(spark, folder):
+    """Every notice with its class of copies and the number of verified pairs it is in, copies included."""
+    return verify.verified_classes(tables.notices(spark, folder))
+
+
+def pair_view(spark, folder):
+    """The labelled duplicates side by side: their texts as stretches that are equal, or only on the left or the right."""
+    same = tables.labelled_pairs(spark, folder).where("label = 'same'")
+    return evaluate.pair_view(same, tables.notices(spark, folder))
+
+
 def card_membership(spark, folder):
     notices = tables.notices(spark, folder)
     return cards.mint_cards(cards.card_members(notices, cards.card_links(notices)), notices)
@@ -329,7 +364,10 @@ QUERIES = {
         retrieval_curve,
         index_probe,
         stored_index_probe,
+        stored_index_lookup,
         verified_pairs,
+        verified_classes,
+        pair_view,
         card_membership,
         card_rerun,
         card_redirects,

@@ -1,7 +1,7 @@
 """The notice queries once more, as SQL over the same tables."""
 
 from tallyleaf.functions import text
-from tallyleaf.functions.minhash import PRIME, hash_family
+from tallyleaf.functions.minhash import PRIME, banding_threshold, hash_family
 from tallyleaf.operators import evaluate, lsh, verify
 from tallyleaf.plans import notices
 
@@ -119,18 +119,20 @@ sizes{tag} as materialized (
   select band_id, bucket_id, count(*) as bucket_size from posts{tag} group by band_id, bucket_id)"""
 
 
-def _candidates(tag="", name="cands"):
+def _candidates(tag="", name="cands", cap=None):
+    capped = f" semi join (select * from sizes{tag} where bucket_size <= {cap}) using (band_id, bucket_id)" if cap else ""
     return f"""
 {name} as materialized (
   select distinct a.notice_id as id_a, b.notice_id as id_b
-  from posts{tag} a join posts{tag} b on a.band_id = b.band_id and a.bucket_id = b.bucket_id
+  from (select * from posts{tag}{capped}) a join posts{tag} b on a.band_id = b.band_id and a.bucket_id = b.bucket_id
   where a.notice_id < b.notice_id)"""
 
 
-def _summary(tag="", cands="cands"):
+def _summary(tag="", cands="cands", cap=None):
     """Scalar subqueries of one retrieval configuration."""
+    most = f"and bucket_size <= {cap}" if cap else ""
     work = f"""(select notice_id, sum(bucket_size - 1) as work from posts{tag} join sizes{tag} using (band_id, bucket_id)
-      where bucket_size > 1 group by notice_id)"""
+      where bucket_size > 1 {most} group by notice_id)"""
 
     def at(p):
         return f"(select coalesce(round(quantile_cont(work, {p}), 6), 0) from {work})"
@@ -239,15 +241,18 @@ from scored{i}""")
 
 def _mitigations():
     ctes = [WORD2, _sets("processed", 3, "sets3")]
-    source = {2: "sets", 3: "sets3"}
+    ctes.append(f"""
+pruned_rows as materialized (
+  select * from sets_rows where s not in (
+    select s from sets_rows group by s having count(*) > (select floor(count(*) * {lsh.DF_SHARE}) from docs)))""")
     made, rows = {}, []
-    for i, (name, n, bands, per_band) in enumerate(notices.MITIGATIONS):
-        key = (n, bands)
+    for i, (name, n, pruned, bands, per_band, cap) in enumerate(notices.MITIGATIONS):
+        key = (n, pruned, bands)
         if key not in made:
             made[key] = f"_{i}"
-            ctes += [_sigs(source[n], tag=f"_{i}"), _posts(per_band, f"_{i}")]
-        ctes.append(_candidates(made[key], f"cands{i}"))
-        part = _summary(made[key], f"cands{i}")
+            ctes += [_sigs("pruned" if pruned else "sets" if n == 2 else "sets3", tag=f"_{i}"), _posts(per_band, f"_{i}")]
+        ctes.append(_candidates(made[key], f"cands{i}", cap))
+        part = _summary(made[key], f"cands{i}", cap)
         hits = f"(select count(*) from same_pairs semi join cands{i} using (id_a, id_b))"
         columns = {"strategy": f"'{name}'", "hits": hits, "recall": f"{hits} / (select count(*) from same_pairs)"}
         chosen = ("unique_candidates", "bucket_pairs", "max_bucket_size", "p50_work", "p90_work", "p99_work", "max_work")
@@ -406,11 +411,24 @@ select count(*) as hits from pairs semi join cands using (id_a, id_b) where labe
     "winning_shingles": _winning(),
     "retrieval_curve": f"""with {DOCS}, {PAIRS}, {WORD2}, {_scored()}, {_sigs()}, {_posts(lsh.ROWS)}, {_candidates()}
 select cast(case when united > 0 then 10 * shared // united else 0 end as integer) as score_bin, count(*) as pairs,
-  count(c.id_a) as retrieved, round(avg(1 - pow(1 - pow(jaccard, {lsh.ROWS}), {lsh.BANDS})), 6) as expected_share
+  count(c.id_a) as retrieved, round(avg(1 - pow(1 - pow(jaccard, {lsh.ROWS}), {lsh.BANDS})), 6) as expected_share,
+  max(cast(case when united > 0 then 10 * shared // united else 0 end / 10 >= {banding_threshold(lsh.BANDS, lsh.ROWS)} as integer)) as above_threshold
 from scored s left join cands c on c.id_a = s.id_a and c.id_b = s.id_b group by 1""",
     "index_probe": PROBE,
     "stored_index_probe": PROBE,
+    "stored_index_lookup": f"select * from ({PROBE}) where incoming_id = (select min(item_id) from benchmark)",
     "verified_pairs": f"{VERIFIED} select * from verified",
+    "verified_classes": f"""{VERIFIED},
+classed as (
+  select notice_id, case when processed <> '' and estimated_value is not null
+    then min(notice_id) over (partition by processed, estimated_value) else notice_id end as class_id from docs),
+sized as (select class_id, count(*) as class_size from classed group by class_id),
+linked as (
+  select class_id, cast(sum(class_size) as bigint) as others
+  from (select id_a as class_id, id_b as other from verified union all select id_b, id_a from verified)
+    join (select class_id as other, class_size from sized) using (other) group by class_id)
+select notice_id, class_id, class_size, class_size - 1 + coalesce(others, 0) as n_links
+from classed join sized using (class_id) left join linked using (class_id)""",
     "card_membership": f"""{CARDS}, {_components("docs", "cards")}
 select 'CARD-' || component as card_id, notice_id from cards""",
     "card_rerun": f"""{RERUN}

@@ -1,37 +1,217 @@
-"""Weekly notices as a stream: every run regroups what is stored and keeps the card ids of earlier runs."""
+"""Weekly notices as a stream: every run places its batch among the stored sketches and keeps the card ids of earlier runs.
+
+The store holds, each in a folder per run: ``originals`` (one sketch per distinct text and value), ``tokens`` (their rarest
+shingles, by the order fixed in the first run), ``members`` (notice to the card it got), ``cards`` (card and run of its
+creation), ``redirects`` (cards that merged away in the run) and ``merged`` (every card that ever merged away, with the one that
+stands for it now). No text is stored. A run reads what lies below its number and writes its own folders, so a run that was
+lost is repeated as it was.
+"""
+
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyleaf.operators import cards
+from tallyleaf.functions import minhash, text
+from tallyleaf.operators import cards, lsh, verify
+from tallyleaf.operators.skew import meet, salted_join
 from tallyleaf.session import cut_lineage
 
+TABLES = {
+    "originals": "notice_id long, estimated_value string, text_key string, sets array<long>, buckets array<long>",
+    "tokens": "notice_id long, estimated_value string, n int, token long",
+    "members": "notice_id long, card_id string",
+    "cards": "card_id string, created_at int",
+    "redirects": "old_card_id string, canonical_card_id string",
+    "merged": "old_card_id string, canonical_card_id string",
+    "order": "token long, df long",
+}
+TEXT = ("text_key", "estimated_value")
+
+
+def create_store(spark, store: str) -> None:
+    """The folders of a store; nothing changes where they exist."""
+    for name, schema in TABLES.items():
+        spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{store}/{name}/run=-1")
+
+
+def stored(spark, store: str, name: str, before: int) -> DataFrame:
+    """What the runs below a number have written."""
+    rows = spark.read.schema(f"{TABLES[name]}, run int").parquet(f"{store}/{name}")
+    return rows.where(F.col("run") < before)
+
+
+def _write(rows, store, name, run):
+    path = f"{store}/{name}/run={run}"
+    rows.write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.schema(TABLES[name]).parquet(path)
+
+
+def members_before(spark, store: str, run: int) -> DataFrame:
+    """(notice_id, card_id) of all earlier runs, under the cards that stand today."""
+    merged = stored(spark, store, "merged", run).where(F.col("run") == run - 1).drop("run")
+    got = stored(spark, store, "members", run).select("notice_id", F.col("card_id").alias("old_card_id"))
+    now = salted_join(got, merged, ["old_card_id"], ["notice_id"], "left")
+    return now.select("notice_id", F.coalesce("canonical_card_id", "old_card_id").alias("card_id"))
+
+
+def sketched(batch: DataFrame, **banding) -> DataFrame:
+    """What is stored of a notice: hash of its cleaned text, word-3-gram hashes, bucket ids. Without a value it resembles nothing."""
+    cleaned = lsh.clean(batch.where(F.col("estimated_value").isNotNull()))
+    kept = cleaned.select(
+        "notice_id",
+        "estimated_value",
+        F.md5("clean").alias("text_key"),
+        F.transform(text.word_ngrams(F.col("clean"), 3), minhash.hash60).alias("sets"),
+        "clean",
+    )
+    return lsh.sketch(lsh.word_shingles(kept), **banding)
+
+
+def _originals(incoming, known):
+    """(incoming notice, original) and the originals that are new: one per text and value that no earlier run has."""
+    firsts = incoming.groupBy(*TEXT).agg(F.min("notice_id").alias("first"))
+    seen = known.select(*TEXT, F.col("notice_id").alias("seen"))
+    named = cut_lineage(firsts.join(seen, [*TEXT], "left"))
+    copies = salted_join(
+        incoming.select("notice_id", *TEXT), named.select(*TEXT, F.coalesce("seen", "first").alias("original")), TEXT, ["notice_id"]
+    )
+    fresh = named.where("seen is null").select(F.col("first").alias("notice_id"))
+    return copies.select("notice_id", "original"), incoming.join(fresh, "notice_id", "left_semi")
+
+
+def _verified(pairs, features, threshold):
+    """Of the pairs those that share a bucket and reach the threshold. Only originals that occur in a pair are read."""
+    ends = pairs.select(F.col("id_a").alias("notice_id")).union(pairs.select("id_b")).distinct()
+    known = features.join(ends, "notice_id", "left_semi").select("notice_id", "sets", "buckets")
+    both = lsh.pair_features(pairs, known, ["sets", "buckets"]).where(F.arrays_overlap("buckets_a", "buckets_b"))
+    found = both.where(minhash.jaccard(F.col("sets_a"), F.col("sets_b")) >= threshold)
+    return cut_lineage(found.select("id_a", "id_b"))
+
 
-def run_cards(batch: DataFrame, run: int, store: str) -> None:
-    """Add a batch of notices and write cards and redirects of this run. A run repeated writes the same files."""
+def _stars(fresh, known):
+    """Each new original with the lowest one of each of its buckets, stored or new."""
+    within = verify.VALUE_BUCKET
+    asked = lsh.postings(fresh.select("notice_id", "estimated_value", "buckets"))
+    there = lsh.postings(known.select("notice_id", "estimated_value", "buckets"))
+    met = there.join(asked.select(*within).distinct(), [*within], "left_semi").unionByName(asked)
+    lowest = met.groupBy(*within).agg(F.min("notice_id").alias("lowest"), F.count("*").alias("n")).where("n > 1").drop("n")
+    stars = salted_join(asked, lowest, within, ["notice_id"]).where("notice_id <> lowest")
+    return stars.select(F.col("lowest").alias("id_a"), F.col("notice_id").alias("id_b")).distinct()
+
+
+def _across(tokens, known_tokens, labels, threshold):
+    """Pairs with a new original that share a rare shingle and lie in different components.
+
+    Under each shingle the members of its biggest component meet only the others, in blocks; pairs of two stored
+    originals were looked at in earlier runs.
+    """
+    key = verify.TOKEN
+    old = known_tokens.join(tokens.select(*key).distinct(), [*key], "left_semi")
+    every = tokens.withColumn("is_new", F.lit(True)).unionByName(old.withColumn("is_new", F.lit(False)))
+    every = cut_lineage(salted_join(every, labels, ["notice_id"], ["token"]))
+    counted = every.groupBy(*key, "component").agg(F.count("*").alias("rows"))
+    most = F.max(F.struct("rows", "component"))
+    sizes = counted.groupBy(*key).agg(F.sum("rows").alias("key_rows"), most["component"].alias("biggest"))
+    sized = salted_join(every, sizes.where("key_rows > 1"), key, ["notice_id"])
+    outside, fresh = F.col("component") != F.col("biggest"), F.col("is_new")
+    columns = ["notice_id", "n", "component"]
+    met = [
+        meet(sized.where(outside & fresh), sized, key, ["notice_id"], columns),
+        meet(sized.where(outside & ~fresh), sized.where(~outside & fresh), key, ["notice_id"], columns),
+    ]
+    shorter, longer = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
+    pairs = reduce(DataFrame.unionByName, met).where("component_a <> component_b").where(shorter >= longer * F.lit(threshold))
+    ends = F.least("notice_id_a", "notice_id_b").alias("id_a"), F.greatest("notice_id_a", "notice_id_b").alias("id_b")
+    return pairs.select(*ends).distinct()
+
+
+def _nodes(links, members):
+    """Links between cards: a stored notice stands for its card, a new one for the card it would get."""
+    for end in ("id_a", "id_b"):
+        card = members.select(F.col("notice_id").alias(end), "card_id")
+        links = salted_join(links, card, [end], ["id_a", "id_b"], "left")
+        links = links.withColumn(end, F.coalesce("card_id", cards.new_card_id(F.col(end)))).drop("card_id")
+    return links.where("id_a <> id_b").distinct()
+
+
+def run_cards(batch: DataFrame, run: int, store: str, threshold=verify.THRESHOLD, **banding) -> None:
+    """Add a batch of notices: new members, cards and redirects.
+
+    Cards are the components of verified pairs over all runs, found from the batch and the stored sketches alone: new texts meet
+    stored ones in their buckets, and only their links are merged into the stored cards. A card keeps the oldest id
+    of those that meet in it, and the others redirect to it. Notices stored already are not taken again.
+    """
     spark = batch.sparkSession
-    batch.write.mode("overwrite").parquet(f"{store}/notices/run={run}")
-    every = spark.read.option("basePath", f"{store}/notices").parquet(f"{store}/notices").where(F.col("run") <= run)
-    every = every.drop("run")
-    members = cut_lineage(cards.card_members(every, cards.card_links(every)))
-    if run == 0:
-        membership = cards.mint_cards(members, every).withColumn("created_at", F.lit(run))
-    else:
-        earlier = spark.read.parquet(f"{store}/cards/run={run - 1}")
-        membership, redirects = cards.update_cards(earlier, members, every, run)
-        redirects.write.mode("overwrite").parquet(f"{store}/redirects/run={run}")
-    membership.write.mode("overwrite").parquet(f"{store}/cards/run={run}")
-
-
-def card_stream(notices: DataFrame, store: str, checkpoint: str):
+    create_store(spark, store)
+    members = cut_lineage(members_before(spark, store, run))
+    batch = batch.join(members, "notice_id", "left_anti")
+    known = stored(spark, store, "originals", run).drop("run")
+    incoming = cut_lineage(sketched(batch, **banding))
+    copies, fresh = _originals(incoming, known)
+    fresh = _write(fresh.select("notice_id", *reversed(TEXT), "sets", "buckets"), store, "originals", run)
+    copies = cut_lineage(copies)
+
+    # The order of shingles is that of the first batch; it must be one and the same for all runs.
+    order = stored(spark, store, "order", run).drop("run")
+    counted = fresh.select(F.explode("sets").alias("token")).groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    mine = counted if known.isEmpty() else order.where("false")
+    order = order.unionByName(_write(mine.select("token", "df"), store, "order", run))
+    prefix = verify.ordered_prefix(fresh.select("notice_id", "estimated_value", "sets"), order, threshold)
+    tokens = _write(prefix.select("notice_id", "estimated_value", "n", "token"), store, "tokens", run)
+
+    features = known.unionByName(fresh)
+    near = _verified(_stars(fresh, known), features, threshold)
+    labels = _labels(_nodes(near, members), features, members)
+    across = _across(tokens, stored(spark, store, "tokens", run).drop("run"), labels, threshold)
+    found = _verified(across, features, threshold)
+    again = copies.where("notice_id <> original").select(F.col("original").alias("id_a"), F.col("notice_id").alias("id_b"))
+    links = _nodes(near.union(found).union(again), members)
+    _merge(links, batch, members, run, store)
+
+
+def _labels(links, features, members):
+    """The component of each original so far: linked cards are one."""
+    joined = cards.connected_components(links).withColumnRenamed("notice_id", "card_id")
+    own = features.select("notice_id").join(members, "notice_id", "left")
+    own = own.select("notice_id", F.coalesce("card_id", cards.new_card_id(F.col("notice_id"))).alias("card_id"))
+    found = salted_join(own, joined, ["card_id"], ["notice_id"], "left")
+    return cut_lineage(found.select("notice_id", F.coalesce("component", "card_id").alias("component")))
+
+
+def _merge(links, batch, members, run, store):
+    spark = batch.sparkSession
+    grouped = cut_lineage(cards.connected_components(links).withColumnRenamed("notice_id", "card_id"))
+    old = stored(spark, store, "cards", run).select("card_id", "created_at")
+    oldest = grouped.join(old, "card_id").groupBy("component").agg(F.min(F.struct("created_at", "card_id"))["card_id"].alias("kept"))
+    new = batch.select("notice_id", cards.new_card_id(F.col("notice_id")).alias("card_id"))
+    placed = salted_join(new, grouped, ["card_id"], ["notice_id"], "left")
+    placed = cut_lineage(placed.select("notice_id", F.coalesce("component", "card_id").alias("component")))
+    lowest = placed.groupBy("component").agg(F.min("notice_id").alias("lowest"))
+    named = lowest.join(oldest, "component", "left")
+    named = named.select("component", F.coalesce("kept", cards.new_card_id(F.col("lowest"))).alias("card_id"), F.col("kept").isNull().alias("minted"))
+    named = cut_lineage(named)
+    _write(named.where("minted").select("card_id", F.lit(run).alias("created_at")), store, "cards", run)
+    mine = salted_join(placed, named.drop("minted"), ["component"], ["notice_id"]).select("notice_id", "card_id")
+    _write(mine, store, "members", run)
+    gone = grouped.join(old, "card_id").join(oldest, "component").where("card_id <> kept")
+    gone = _write(gone.select(F.col("card_id").alias("old_card_id"), F.col("kept").alias("canonical_card_id")), store, "redirects", run)
+    before = stored(spark, store, "merged", run).where(F.col("run") == run - 1).drop("run")
+    further = gone.select(F.col("old_card_id").alias("canonical_card_id"), F.col("canonical_card_id").alias("further"))
+    moved = salted_join(before, further, ["canonical_card_id"], ["old_card_id"], "left")
+    moved = moved.select("old_card_id", F.coalesce("further", "canonical_card_id").alias("canonical_card_id"))
+    _write(moved.unionByName(gone), store, "merged", run)
+
+
+def card_stream(notices: DataFrame, store: str, checkpoint: str, **banding):
     """Process the notices that have arrived, batch by batch, and stop; returns the finished query."""
     writer = notices.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint)
-    query = writer.foreachBatch(lambda batch, run: run_cards(batch, run, store)).start()
+    query = writer.foreachBatch(lambda batch, run: run_cards(batch, run, store, **banding)).start()
     query.awaitTermination()
     return query
 
 
 def latest_cards(spark, store: str) -> DataFrame:
-    """Membership as of the last run."""
-    runs = spark.read.parquet(f"{store}/cards")
-    return runs.where(F.col("run") == runs.agg(F.max("run")).scalar()).drop("run")
+    """(card_id, notice_id) as of the last run."""
+    runs = stored(spark, store, "members", 1 << 30).select("run").union(stored(spark, store, "merged", 1 << 30).select("run"))
+    return members_before(spark, store, runs.agg(F.coalesce(F.max("run"), F.lit(-1))).first()[0] + 1).select("card_id", "notice_id")

@@ -6,9 +6,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tallyleaf.functions import minhash, text
+from tallyleaf.functions import alignment, minhash, text
 from tallyleaf.operators import cards, evaluate, lsh, verify
 from tallyleaf.operators.skew import meet
+from tallyleaf.sources import layout
+from tallyleaf.streaming import weekly
 from tallyleaf.streaming.weekly import card_stream, latest_cards
 
 
@@ -214,10 +216,102 @@ def test_cards_keep_their_ids_and_redirect_on_merge(spark):
 
 
 def test_frequent_shingles_are_pruned(spark):
-    rows = [(i, f"the same {i} only{i}") for i in range(40)]
+    # "the same" is in far more than 5 % of the notices; one notice has nothing else.
+    rows = [(i, f"the same {i} only{i}") for i in range(40)] + [(99, "the same")]
     shingled = lsh.word_shingles(spark.createDataFrame(rows, "notice_id long, clean string"), 2)
-    left = lsh.prune_frequent(shingled).where("notice_id = 3").first().shingles
-    assert sorted(left) == ["3 only3", "same 3"]
+    for sets in (shingled, lsh.hashed(shingled)):
+        left = {r.notice_id: r.shingles for r in lsh.prune_frequent(sets).collect()}
+        assert len(left) == 41 and left[99] == [] and {len(v) for k, v in left.items() if k < 99} == {2}
+    assert sorted(lsh.prune_frequent(shingled).where("notice_id = 3").first().shingles) == ["3 only3", "same 3"]
+    assert lsh.sketch(lsh.prune_frequent(lsh.hashed(shingled))).count() == 40
+    plain, hashed = (lsh.sketch(s).orderBy("notice_id").collect() for s in (shingled.drop("clean"), lsh.hashed(shingled)))
+    assert plain == hashed
+
+
+@pytest.mark.parametrize("cap", [2, 5, 30])
+def test_a_cap_is_measured_exactly(buckets, cap):
+    found, held = buckets
+    posted = lsh.postings(found)
+    sizes = lsh.bucket_sizes(posted)
+    members = {}
+    for notice, ids in held.items():
+        for bucket in ids:
+            members.setdefault(bucket, []).append(notice)
+    assert max(map(len, members.values())) > cap
+    kept = {b: m for b, m in members.items() if len(m) <= cap}
+    pairs = {p for m in kept.values() for p in itertools.combinations(sorted(m), 2)}
+    met = lsh.within_cap(sizes, cap)
+    assert lsh.count_candidates(posted, met).first()[0] == len(pairs)
+    work = {}
+    for m in kept.values():
+        for notice in m:
+            work[notice] = work.get(notice, 0) + len(m) - 1
+    got = {r.notice_id: r.work for r in lsh.work_per_notice(posted, met).collect()}
+    assert got == {n: w for n, w in work.items() if w}
+    every = list(itertools.combinations(sorted(held), 2))
+    asked = found.sparkSession.createDataFrame(every, "id_a long, id_b long")
+    assert lsh.recall(asked, lsh.shared_sets(posted, met)).first().hits == len(pairs)
+
+
+def test_percentiles_by_rank_selection(spark):
+    rng = random.Random(4)
+    for n in (0, 1, 2, 1000):
+        values = [rng.choice([1, 2, 3, 50, rng.randrange(1, 10**6)]) for _ in range(n)]
+        work = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "notice_id long, work long").repartition(3)
+        row = lsh.work_percentiles(work).first()
+        ordered = sorted(values)
+
+        def at(p):
+            rank = p * (n - 1)
+            low, high = ordered[int(rank)], ordered[min(int(rank) + 1, n - 1)]
+            return round(low + (high - low) * (rank - int(rank)), 6)
+
+        expected = [at(p) for p in (0.5, 0.9, 0.99, 0.999)] if n else [0.0] * 4
+        assert (row.notices, row.max_work) == (n, float(max(values, default=0)))
+        assert [row.p50_work, row.p90_work, row.p99_work, row.p999_work] == pytest.approx(expected, abs=1e-6)
+
+
+def _common(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = row[:]
+        for j, y in enumerate(b, 1):
+            row[j] = before[j - 1] + 1 if x == y else max(before[j], row[j - 1])
+    return row[-1]
+
+
+def test_pair_view(spark):
+    rng = random.Random(6)
+    for _ in range(300):
+        a, b = ([rng.choice("abcd") for _ in range(rng.randrange(30))] for _ in range(2))
+        found = alignment.parts(a, b)
+        assert [w for side, ws in found if side != "right" for w in ws] == a
+        assert [w for side, ws in found if side != "left" for w in ws] == b
+        assert sum(len(ws) for side, ws in found if side == "equal") == _common(a, b)
+        assert all(x[0] != y[0] for x, y in zip(found, found[1:]))
+    long = [f"w{i % 997}" for i in range(20_000)]
+    assert alignment.parts(long, [*long[:9000], "new", *long[9001:]]) == [
+        ("equal", long[:9000]), ("left", [long[9000]]), ("right", ["new"]), ("equal", long[9001:]),
+    ]
+    notices = spark.createDataFrame(
+        [(1, "", "Road works, north."), (2, "", "Road repair works north"), (3, None, None), (4, "", "")],
+        "notice_id long, title string, body string",
+    )
+    pairs = spark.createDataFrame([(1, 2), (3, 4), (1, 4)], "id_a long, id_b long")
+    got = sorted(tuple(r) for r in evaluate.pair_view(pairs, notices).collect())
+    assert got == [
+        (1, 2, 0, "equal", "road"), (1, 2, 1, "right", "repair"), (1, 2, 2, "equal", "works north"), (1, 4, 0, "left", "road works north"),
+    ]
+
+
+def test_classes_count_every_verified_pair(crowd, buckets):
+    notices, rows = crowd
+    pairs = _verified(rows, buckets[1], originals_only=False)
+    got = {r.notice_id: r for r in verify.verified_classes(notices, **BANDING).collect()}
+    assert set(got) == {r[0] for r in rows}
+    for notice, row in got.items():
+        assert row.n_links == sum(notice in p for p in pairs), row
+    assert sum(r.n_links for r in got.values()) == 2 * len(pairs) and max(r.class_size for r in got.values()) > 20
 
 
 def test_threshold_sweep(spark):
@@ -245,3 +339,67 @@ def test_stream_keeps_cards_over_runs(spark, tmp_path):
     assert arrive((5, "", words, "1"), (8, "", "other text here", "1")) == {5: "CARD-5", 8: "CARD-8"}
     later = arrive((2, "", words, "1"), (3, "", words, None))
     assert later == {5: "CARD-5", 2: "CARD-5", 8: "CARD-8", 3: "CARD-3"}
+
+
+def test_incremental_runs_equal_one_grouping(spark, crowd, buckets, tmp_path, monkeypatch):
+    notices, rows = crowd
+    store, looked_at = str(tmp_path), []
+    verified = weekly._verified
+    monkeypatch.setattr(weekly, "_verified", lambda pairs, *more: looked_at.append(pairs.count()) or verified(pairs, *more))
+    # Three weeks, the ids of each scattered over the groups.
+    week = (F.col("notice_id") * 7 + 3) % 3
+    for run in range(3):
+        weekly.run_cards(notices.where(week == run), run, store, **BANDING)
+    expected = _groups(_verified(rows, buckets[1], originals_only=False), [r[0] for r in rows])
+    got = {r.notice_id: r.card_id for r in latest_cards(spark, store).collect()}
+    assert {frozenset(n for n in got if got[n] == c) for c in got.values()} == {
+        frozenset(n for n in expected if expected[n] == c) for c in expected.values()
+    }
+    # A run compares far fewer pairs than there are among all notices of the weeks so far.
+    assert max(looked_at) < len(rows) * (len(rows) - 1) / 2 / 10
+    # Nothing in the store is as long as a text, and a repeated run changes nothing.
+    assert not any(c in ("body", "title", "clean") for t in weekly.TABLES for c in spark.read.parquet(f"{store}/{t}").columns)
+    weekly.run_cards(notices.where(week == 2), 2, store, **BANDING)
+    assert {r.notice_id: r.card_id for r in latest_cards(spark, store).collect()} == got
+    # What is stored already is not taken again.
+    weekly.run_cards(notices, 3, store, **BANDING)
+    assert {r.notice_id: r.card_id for r in latest_cards(spark, store).collect()} == got
+
+
+def test_a_bridge_merges_cards_and_redirects(spark, tmp_path):
+    words = [f"w{i}" for i in range(120)]
+    # The ends share too little with one another, and enough with what lies between them.
+    first, last, between = words[:70], words[50:], words[15:105]
+    schema = "notice_id long, title string, body string, estimated_value string"
+
+    def run(number, *rows):
+        weekly.run_cards(spark.createDataFrame([(i, "", " ".join(w), "9") for i, w in rows], schema), number, str(tmp_path))
+        return {r.notice_id: r.card_id for r in latest_cards(spark, str(tmp_path)).collect()}
+
+    assert run(0, (4, first)) == {4: "CARD-4"}
+    assert run(1, (2, last), (3, last)) == {4: "CARD-4", 2: "CARD-2", 3: "CARD-2"}
+    assert run(2, (1, between)) == dict.fromkeys((1, 2, 3, 4), "CARD-4")
+    gone = weekly.stored(spark, str(tmp_path), "redirects", 9)
+    assert [tuple(r) for r in gone.collect()] == [("CARD-2", "CARD-4", 2)]
+    assert run(3, (9, words[50:119])) == dict.fromkeys((1, 2, 3, 4, 9), "CARD-4")
+
+
+def test_index_lookup_opens_few_files(spark, tmp_path):
+    rows = spark.range(20_000).selectExpr("cast(id % 32 as int) band_id", "xxhash64(id % 5000) & 1152921504606846975L bucket_id", "id notice_id")
+    layout.write_lsh_index(rows, str(tmp_path / "index"), buckets=16)
+    index = layout.open_lsh_index(spark, str(tmp_path / "index"), buckets=16)
+    assert len(index.inputFiles()) == 16
+    wanted = rows.where("notice_id = 77").first().bucket_id
+    # Spark prunes buckets either way, but only plans that keep the buckets apart say so.
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+    found = layout.lookup(index, [wanted])
+    assert sorted(r.notice_id for r in found.collect()) == [77, 5077, 10077, 15077]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
+    assert "SelectedBucketsCount: 1 out of 16" in plan and "EqualTo(bucket_id" in plan
+    # A batch too large to broadcast is shuffled; the index is not.
+    batch = rows.where("notice_id % 3 = 0").select("band_id", "bucket_id", "notice_id")
+    joined = lsh.probe(index.hint("merge"), batch)
+    assert joined.where("notice_id = 77").count() == 1
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Bucketed: true" in plan
