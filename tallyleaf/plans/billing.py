@@ -155,13 +155,22 @@ def partition_round_trip(spark, folder):
     return rows.groupBy("store_id", "year_month").agg(slices.revenue().alias("revenue"), F.count("*").alias("line_count"))
 
 
+def all_lines_round_trip(spark, folder):
+    """Lines and amounts per store, month and line type, read back from the partitioned table of all lines."""
+    path = new_folder(spark, "all-lines")
+    layout.write_partitioned(tables.sales(spark, folder), path)
+    rows = layout.read_sales(spark, path).groupBy("store_id", "year_month", "line_type")
+    return rows.agg(F.count("*").alias("line_count"), F.round(F.sum(F.col("qty") * F.col("unit_price")), 2).cast("double").alias("subtotal"))
+
+
 def layout_metrics(spark, folder):
-    """Files and bytes of one store-month in the partitioned table, against the same rows without partitions."""
+    """Files and rows that one store-month query opens in the partitioned table, and among files by month without partitions."""
     path, flat = new_folder(spark, "sales"), new_folder(spark, "flat")
     layout.write_partitioned(tables.fact(spark, folder), path)
     rows = layout.read_sales(spark, path)
-    rows.write.parquet(flat)
-    return layout.layout_metrics(spark.read.parquet(flat), rows, "S01", KPI_MONTH)
+    layout.write_flat(rows, flat)
+    found = layout.layout_metrics(layout.read_flat(spark, flat), rows, "S01", KPI_MONTH)
+    return found.select("flat_files", "flat_rows", "pruned_files", "pruned_rows", "file_reduction")
 
 
 def idempotent_runs(spark, folder):
@@ -203,6 +212,7 @@ QUERIES = {
         monthly_reconciliation,
         missing_store_days,
         partition_round_trip,
+        all_lines_round_trip,
         layout_metrics,
         idempotent_runs,
     )

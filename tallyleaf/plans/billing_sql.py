@@ -140,6 +140,16 @@ ORACLE = {
 select year_month, {REVENUE} as total_revenue, count(distinct bill_no) as total_bills,
   {REVENUE} / count(distinct bill_no) as avg_basket
 from fact group by year_month""",
+    "all_lines_round_trip": f"""with {SALES}
+select store_id, year_month, line_type, count(*) as line_count, {money("sum(qty * unit_price)")} as subtotal
+from sales group by store_id, year_month, line_type""",
+    "layout_metrics": f"""with {FACT}
+select count(distinct year_month) as flat_files, count(*) as flat_rows,
+  count(distinct store_id) filter (store_id = 'S01' and year_month = '{billing.KPI_MONTH}') as pruned_files,
+  count(*) filter (store_id = 'S01' and year_month = '{billing.KPI_MONTH}') as pruned_rows,
+  count(distinct year_month) / greatest(
+    count(distinct store_id) filter (store_id = 'S01' and year_month = '{billing.KPI_MONTH}'), 1) as file_reduction
+from fact""",
     "line_type_audit": f"""with {SALES}
 select year_month, line_type, count(*) as line_count, {money("sum(qty * unit_price)")} as subtotal,
   case when line_type in ('SALE', 'RETURN', 'DISCOUNT', 'VOID') then 'revenue'

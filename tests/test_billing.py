@@ -6,8 +6,10 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from tallyleaf import schemas
 from tallyleaf.operators import dims, ingest, reconcile, slices
 from tallyleaf.sources import exports, layout
+from tallyleaf.sources import notices as notice_files
 from tallyleaf.streaming import nightly
 from tallyleaf.streaming.nightly import ingest_stream
 
@@ -228,3 +230,134 @@ def test_golden_counts(spark):
     by_type = {r.line_type: r["count"] for r in lines.groupBy("line_type").count().collect()}
     assert (raw.count(), lines.count(), lines.select("bill_no").distinct().count()) == (14414, 14121, 2145)
     assert by_type == {"SALE": 9316, "RETURN": 202, "DISCOUNT": 272, "VOID": 41, "TAX": 2145, "TENDER": 2145}
+
+
+def test_dialect_streams_equal_the_batch(spark, sales_folder, tmp_path):
+    """Files of three dialects and re-sends arrive in three batches."""
+    inbox, target = tmp_path / "inbox", str(tmp_path / "table")
+    inbox.mkdir()
+    files = sorted(f for f in os.listdir(sales_folder) if f.startswith("SALES_"))
+    days = [[f for f in files if "S05" in f and "__R" not in f], [f for f in files if "S07" in f or "X99" in f], [f for f in files if "__R" in f or "S11" in f]]
+    for day in days:
+        for name in day:
+            (inbox / name).write_bytes(open(os.path.join(sales_folder, name), "rb").read())
+        nightly.ingest_exports(spark, str(inbox), target, str(tmp_path / "progress"))
+    expected = ingest.all_sales(ingest.latest_lines(exports.read_exports(spark, sales_folder, formats=("csv",))))
+    stored = layout.read_published(spark, target).select(expected.columns)
+    assert rows(stored, "bill_no", "line_no") == rows(expected, "bill_no", "line_no")
+    assert {r.line_type for r in stored.collect()} == {"SALE", "TENDER", "RETURN"} and stored.count() == 7
+
+
+def test_compaction_keeps_what_readers_hold(spark, tmp_path):
+    target = str(tmp_path / "out")
+    schema = "bill_no string, line_no int, product_code string, qty decimal(10,2), unit_price decimal(18,2), line_type string, file_name string"
+
+    def merge(version, *lines):
+        made = [(b, n, "P", Decimal(q), Decimal(2), t, f"f{version}") for b, n, q, t in lines]
+        nightly.merge_lines(spark.createDataFrame(made, schema), target, version)
+
+    def files():
+        return {os.path.join(d, f) for d, _, names in os.walk(f"{target}/rows") for f in names if f.startswith("part-")}
+
+    def stored():
+        return rows(layout.read_published(spark, target).select("bill_no", "line_no", "qty", "line_type"), "bill_no", "line_no")
+
+    layout.create_versions(spark, target, ingest.all_sales(spark.createDataFrame([], schema)).schema)
+    assert nightly.compact(spark, target) == 0
+    merge(0, ("S01/20240101/1", 1, 5, "SALE"), ("S02/20240101/1", 1, 1, "SALE"))
+    merge(2, ("S01/20240101/1", 1, 6, "SALE"), ("S01/20240101/1", 102, 1, "TAX"), ("S03/20240201/1", 103, 4, "TENDER"))
+    merge(4, ("S02/20240101/1", 1, 2, "SALE"))
+    # A reader that began after the first batch still finds its files.
+    early = layout.read_published(spark, target)
+    before, held = stored(), files()
+    assert nightly.compact(spark, target, oldest_reader=2) == 1
+    assert stored() == before and rows(early.select("bill_no", "line_no", "qty", "line_type"), "bill_no", "line_no") == before
+    assert len(held - files()) == 1
+    # A lost run leaves files that nobody lists.
+    layout.write_version(layout.read_published(spark, target).where("store_id = 'S03'"), target, 3)
+    assert nightly.compact(spark, target, oldest_reader=5) == 5
+    assert stored() == before and {f.split("version=")[1][0] for f in files()} == {"5"}
+    merge(6, ("S02/20240101/1", 1, 3, "SALE"))
+    merge(4, ("S02/20240101/1", 1, 9, "SALE"))
+    assert [r[2] for r in stored()] == [6, 1, 3, 4]
+
+
+SQL_TEXT = """-- it's a dump; don't count this quote
+DROP TABLE IF EXISTS stores;
+CREATE TABLE stores (store_id TEXT, note TEXT);
+INSERT INTO stores (store_id,opened_on,store_name,floor_area_sqft) VALUES
+  ('S01',DATE '2011-01-01','O''Neil, (Main) Road',8200), -- the first's comment
+  ('S02',NULL,'two
+lines; INSERT INTO stores VALUES (''S9'')
+-- not a comment',-5),
+  ('S03',DATE '2012-04-06','',NULL);
+insert into other values ('S07', 1), ('S08', 2);
+INSERT INTO public.stores VALUES ('S04','name','addr','city','st','re',1,DATE '2020-02-29'); INSERT_LOG x;
+"""
+
+
+@pytest.mark.parametrize("split", ["128m", "64b"])
+def test_rows_of_insert_statements(spark, tmp_path, split):
+    (tmp_path / "dump.sql").write_text(SQL_TEXT)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+    try:
+        found = exports.read_sql_inserts(spark, str(tmp_path / "dump.sql"), "stores", schemas.MASTERS["stores"])
+        got = rows(found.selectExpr("store_id", "store_name", "floor_area_sqft", "cast(opened_on as string)", "city"), "store_id")
+        other = exports.read_sql_inserts(spark, str(tmp_path / "dump.sql"), "other", "a string, b int")
+        assert rows(other, "a") == [("S07", 1), ("S08", 2)]
+        assert exports.read_sql_inserts(spark, str(tmp_path / "dump.sql"), "none", "a string").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == [
+        ("S01", "O'Neil, (Main) Road", 8200, "2011-01-01", None),
+        ("S02", "two\nlines; INSERT INTO stores VALUES ('S9')\n-- not a comment", -5, None, None),
+        ("S03", "", None, "2012-04-06", None),
+        ("S04", "name", 1, "2020-02-29", "city"),
+    ]
+
+
+def test_golden_masters(spark, tmp_path):
+    """Rows of the four masters as counted by hand; GOLDEN_MASTERS_SQL names the SQL text."""
+    path = os.environ.get("GOLDEN_MASTERS_SQL")
+    if not path:
+        pytest.skip("GOLDEN_MASTERS_SQL is not set")
+    exports.convert_masters(spark, path, str(tmp_path), fmt="sql")
+    counts = {n: exports.read_master(spark, n, str(tmp_path)).count() for n in schemas.MASTERS}
+    assert counts == {"stores": 12, "product_categories": 14, "products": 1224, "price_revisions": 4320}
+
+
+def test_masters_and_ledger_from_csv(spark, tmp_path):
+    for name, schema in schemas.MASTERS.items():
+        columns = [c.split()[0] for c in schema.split(", ")]
+        kinds = {"date": "2024-02-29", "boolean": "true", "int": "7", "bigint": "8", "decimal(4,3)": "0.125", "decimal(12,2)": "9.50"}
+        cells = [kinds.get(c.split()[1], c.split()[0]) for c in schema.split(", ")]
+        (tmp_path / f"{name}.csv").write_text(",".join(columns) + "\n" + ",".join(cells) + "\n")
+    exports.convert_masters(spark, str(tmp_path), str(tmp_path / "masters"))
+    price = exports.read_master(spark, "price_revisions", str(tmp_path / "masters")).first()
+    assert (price.mrp, str(price.effective_to)) == (Decimal("9.50"), "2024-02-29")
+    assert exports.read_master(spark, "products", str(tmp_path / "masters")).first().is_current is True
+    (tmp_path / "ledger.csv").write_text("month,closed_on,revenue_inr,signed_off_by\n2024-01,2024-02-09,12.34,A\n")
+    assert tuple(exports.read_ledger(spark, str(tmp_path / "ledger.csv")).first())[2] == Decimal("12.34")
+
+
+def test_reports_as_one_file(spark, tmp_path):
+    report = spark.createDataFrame([("a", 1), ("b", None)], "name string, n int").repartition(3)
+    for fmt in ("csv", "json"):
+        layout.write_report(report, str(tmp_path / fmt), fmt)
+        assert len([f for f in os.listdir(tmp_path / fmt) if f.startswith("part-")]) == 1
+    assert rows(spark.read.option("header", True).csv(str(tmp_path / "csv")), "name") == [("a", "1"), ("b", None)]
+    assert spark.read.json(str(tmp_path / "json")).count() == 2
+
+
+def test_notice_files(spark, tmp_path):
+    head = "notice_id,portal_id,published_at,title,body,estimated_value,closing_date\n"
+    (tmp_path / "a.csv").write_text(head + 'N1,P1,2025-01-01,"Road, ""A""","line 1\nline 2",500,2025-02-01\n')
+    (tmp_path / "b.csv").write_text(head + "N2,P2,2025-01-02,Bridge,,,\n")
+    found = rows(notice_files.read_notices(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")]), "notice_id")
+    assert [(r[0], r[3], r[4], r[5]) for r in found] == [("N1", 'Road, "A"', "line 1\nline 2", 500), ("N2", "Bridge", None, None)]
+    (tmp_path / "pairs.csv").write_text("notice_id_a,notice_id_b,label\nN1,N2,different\n")
+    assert rows(notice_files.read_labelled_pairs(spark, str(tmp_path / "pairs.csv")), "label") == [("N1", "N2", "different")]
+    (tmp_path / "clusters.csv").write_text("notice_id,cluster_id,copy_index,is_corrigendum,archetype\nN1,C1,0,False,works\n")
+    assert rows(notice_files.read_clusters(spark, str(tmp_path / "clusters.csv")), "notice_id") == [("N1", "C1", 0, False, "works")]
