@@ -17,6 +17,7 @@ DATE_PATTERNS = (
     r"\b\d{4}[-/.]\d{1,2}[-/.]\d{1,2}\b",
     r"(?i)\b\d{1,2}\s+(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\s+\d{2,4}\b",
 )
+# What stands between words.
 NOT_ALPHANUMERIC = "[^a-z0-9]+"
 BLANKS = "[\\t-\\r\\x1c-\\x20\\x{85}\\p{Z}]+"
 
@@ -30,8 +31,13 @@ def _joined(title, body) -> Column:
 
 
 def raw_text(title: Column, body: Column) -> Column:
-    """Title and body in lower case, nothing removed but runs of blanks."""
-    return F.trim(F.regexp_replace(F.lower(_joined(title, body)), BLANKS, " "))
+    """Title and body in lower case, nothing removed."""
+    return F.lower(_joined(title, body))
+
+
+def raw_words(title: Column, body: Column) -> Column:
+    """The raw text's words, one blank apart."""
+    return F.trim(F.regexp_replace(raw_text(title, body), BLANKS, " "))
 
 
 def naive_text(title: Column, body: Column) -> Column:

@@ -10,7 +10,7 @@ from tallyleaf.operators import lsh
 # The representations compared, as (name, text, shingling, size).
 REPRESENTATIONS = (
     ("Raw + Char-5gram", "raw", "char", 5),
-    ("Raw + Word-2gram", "raw", "word", 2),
+    ("Raw + Word-2gram", "raw_words", "word", 2),
     ("Processed + Char-5gram", "processed", "char", 5),
     ("Processed + Word-1gram", "processed", "word", 1),
     ("Processed + Word-2gram", "processed", "word", 2),

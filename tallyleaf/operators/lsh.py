@@ -19,7 +19,7 @@ BUCKET = ("band_id", "bucket_id")
 
 def clean(notices: DataFrame, how="processed") -> DataFrame:
     """Notices with their text reduced to words, title included."""
-    cleaner = {"raw": text.raw_text, "naive": text.naive_text, "processed": text.processed_text}[how]
+    cleaner = {"raw": text.raw_text, "raw_words": text.raw_words, "naive": text.naive_text, "processed": text.processed_text}[how]
     kept = [c for c in notices.columns if c not in ("title", "body")]
     return notices.select(*kept, cleaner(F.col("title"), F.col("body")).alias("clean"))
 

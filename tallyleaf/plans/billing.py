@@ -104,9 +104,9 @@ def price_comparison(spark, folder):
 
 
 def price_mismatch(spark, folder):
-    return slices.price_mismatch(
-        tables.fact(spark, folder), tables.products(spark, folder), tables.prices(spark, folder)
-    )
+    fact, products = tables.fact(spark, folder), tables.products(spark, folder)
+    listed = tables.printed_list(dims.join_products(fact, products), tables.prices(spark, folder))
+    return slices.price_mismatch(fact, products, listed)
 
 
 def _store_categories(spark, folder, **only):
@@ -134,7 +134,7 @@ def bill_rounding(spark, folder):
 
 def monthly_reconciliation(spark, folder):
     monthly = reconcile.monthly_totals(tables.fact(spark, folder))
-    return reconcile.reconcile(monthly, tables.ledger(monthly), tables.causes(spark))
+    return reconcile.reconcile(monthly, tables.ledger(spark, folder), tables.causes(spark))
 
 
 def missing_store_days(spark, folder):

@@ -15,7 +15,8 @@ bills as (
       || cast(o_orderkey as varchar) as bill_no,
     o_orderstatus = 'P' and o_orderpriority = '1-URGENT' as cancelled,
     case when o_orderpriority = '5-LOW'
-      then -cast(cast(o_totalprice as decimal(18,2)) * cast(0.01 as decimal(2,2)) as decimal(18,2)) end as discount
+      then -cast(cast(o_totalprice as decimal(18,2)) * cast(0.01 as decimal(2,2)) as decimal(18,2)) end as discount,
+    o_orderpriority = '2-HIGH' as cash
   from orders),
 items as (
   select bill_no, l_linenumber as line_no, 'P' || cast(l_partkey as varchar) as product_code,
@@ -52,7 +53,10 @@ summed as (
 all_lines as (
   select bill_no, line_no, product_code, qty, unit_price, line_type from revenue_lines
   union all select bill_no, 102, 'TAX', 1, tax, 'TAX' from summed
-  union all select bill_no, 103, 'TENDER', 1, net + tax, 'TENDER' from summed),
+  union all
+  select bill_no, 103, 'TENDER', 1,
+    case when cash then cast(round(net + tax, 0) as decimal(18,2)) else cast(net + tax as decimal(18,2)) end, 'TENDER'
+  from summed join (select bill_no, cash from bills) using (bill_no)),
 sales as (
   select *, case when line_type in ('TAX', 'TENDER') then 0 else qty * unit_price end as line_revenue, {PARTS_OF_BILL}
   from all_lines)
@@ -224,9 +228,16 @@ from fact f join products p on f.product_code = p.product_code""",
   where year_month in ({_in(billing.COMPARED_MONTHS)}) group by all)
 select * exclude (product_sk, category_name) from report""",
     "price_mismatch": f"""with {FACT}, {DIMS},
+dated as (
+  select f.*, p.product_sk from fact f join products p on f.{DATED}),
+printed as (
+  select r.product_sk, effective_from, effective_to, unit_price as selling_price
+  from prices r join dated d on d.product_sk = r.product_sk and business_date between effective_from and effective_to
+  where line_type = 'SALE'
+  qualify row_number() over (partition by revision_id order by business_date, bill_no, line_no) = 1),
 lines as (
-  select unit_price, selling_price from fact f join products p on f.{DATED}
-  left join prices r on p.product_sk = r.product_sk and business_date between effective_from and effective_to)
+  select unit_price, selling_price from dated d
+  left join printed r on d.product_sk = r.product_sk and business_date between effective_from and effective_to)
 select count(*) as item_lines, count(selling_price) as priced_lines,
   count(*) filter (abs(unit_price - selling_price) > 0.001) as mismatched_lines,
   count(*) - count(selling_price) as unpriced_lines,
@@ -241,11 +252,22 @@ select year_month, cast(revenue as double) as revenue, cast(rounded_revenue as d
   cast(revenue - rounded_revenue as double) as rounding_difference, total_bills
 from monthly""",
     "monthly_reconciliation": f"""with {FACT}, {MONTHLY},
+sold as (
+  select l_orderkey, sum(cast(case when l_returnflag = 'R' then -l_quantity else l_quantity end as decimal(10,2))
+    * cast(l_extendedprice as decimal(18,2))) as sold from kept group by l_orderkey),
+booked as (
+  select strftime(o_orderdate, '%Y-%m') as month, coalesce(sold, 0) - case when o_orderpriority = '5-LOW'
+    then cast(cast(o_totalprice as decimal(18,2)) * cast(0.01 as decimal(2,2)) as decimal(18,2)) else 0 end as amount
+  from orders left join sold on o_orderkey = l_orderkey
+  where not (o_orderstatus = 'P' and o_orderpriority = '1-URGENT') and (sold is not null or o_orderpriority = '5-LOW')),
+booked_months as (
+  select month, cast(round(sum(amount), 2) as decimal(18,2)) as revenue,
+    cast(sum(round(amount, 0)) as decimal(18,2)) as rounded_revenue from booked group by month),
 ledger as (
-  select year_month as month, last_day(cast(year_month || '-01' as date)) + 9 as closed_on,
-    case when year_month = '{tables.BULK_MONTH}' then revenue + cast({tables.BULK_INVOICE} as decimal(18,2))
-      when year_month = '{tables.ROUNDED_MONTH}' then rounded_revenue else revenue end as revenue_inr
-  from monthly where year_month <> '{tables.UNSIGNED_MONTH}'
+  select month, last_day(cast(month || '-01' as date)) + 9 as closed_on,
+    case when month = '{tables.BULK_MONTH}' then revenue + cast({tables.BULK_INVOICE} as decimal(18,2))
+      when month = '{tables.ROUNDED_MONTH}' then rounded_revenue else revenue end as revenue_inr
+  from booked_months where month <> '{tables.UNSIGNED_MONTH}'
   union all select '{tables.EARLY_MONTH}', date '1995-01-09', 0),
 compared as (
   select coalesce(m.year_month, l.month) as month, revenue, revenue_inr, closed_on,

@@ -4,6 +4,7 @@ from tallyleaf.functions import text
 from tallyleaf.functions.minhash import PRIME, banding_threshold, hash_family
 from tallyleaf.operators import evaluate, lsh, verify
 from tallyleaf.plans import notices
+from tallyleaf.sources import tables
 
 
 def _regexp(value, pattern, by=""):
@@ -15,7 +16,11 @@ def _words_only(value):
 
 
 def _raw(title, body):
-    return f"trim({_regexp(f'''lower({title} || ' ' || {body})''', text.BLANKS, ' ')})"
+    return f"lower({title} || ' ' || {body})"
+
+
+def _raw_words(title, body):
+    return f"trim({_regexp(_raw(title, body), text.BLANKS, ' ')})"
 
 
 def _processed(title, body):
@@ -62,7 +67,7 @@ def _hash60(value):
 DOCS = f"""
 docs as materialized (
   select doc_id as notice_id, source as portal_id, lang as estimated_value, text as body,
-    {_raw("''", "text")} as raw, {_words_only("text")} as naive, {_processed("''", "text")} as processed
+    {_raw("''", "text")} as raw, {_raw_words("''", "text")} as raw_words, {_words_only("text")} as naive, {_processed("''", "text")} as processed
   from documents)"""
 
 CLUSTERS = """
@@ -175,7 +180,8 @@ sweep as (
     {evaluate.FALSE_MERGE_COST} * fp + fn as cost
   from counts)"""
 
-VERIFIED_FROM = f"""
+def _verified(threshold):
+    return f"""{BANDED}, {_candidates()}, {_sets('processed', 3, 'sets3')},
 firsts as (
   select min(notice_id) as notice_id, estimated_value from docs where processed <> '' group by processed, estimated_value),
 verified as materialized (
@@ -186,8 +192,10 @@ verified as materialized (
     join sets3 a on a.notice_id = id_a join sets3 b on b.notice_id = id_b
   where fa.estimated_value = fb.estimated_value
     and cast(len(list_intersect(a.shingles, b.shingles)) as double)
-      / (len(a.shingles) + len(b.shingles) - len(list_intersect(a.shingles, b.shingles))) >= {verify.THRESHOLD})"""
-VERIFIED = f"{BANDED}, {_candidates()}, {_sets('processed', 3, 'sets3')}, {VERIFIED_FROM}"
+      / (len(a.shingles) + len(b.shingles) - len(list_intersect(a.shingles, b.shingles))) >= {threshold})"""
+
+
+VERIFIED = _verified(verify.THRESHOLD)
 
 LINKS = """
 links as materialized (
@@ -210,12 +218,43 @@ def _components(nodes, name):
 
 
 CARDS = VERIFIED.replace("with ", "with recursive ", 1) + f", {LINKS}"
-RERUN = f"""{CARDS},
-early as (select doc_id as notice_id from labels),
+def _rerun(early):
+    return f"""{CARDS},
+early as ({early}),
 {_components("early", "old")}, {_components("docs", "new")},
 carried as (select distinct new.component, old.component as old_id from old join new using (notice_id)),
 kept as (select component, min('CARD-' || old_id) as kept_id from carried group by component)"""
 
+
+RERUN = _rerun("select doc_id as notice_id from labels")
+
+CLASSED = """
+classed as materialized (
+  select notice_id, case when processed <> '' and estimated_value is not null
+    then min(notice_id) over (partition by processed, estimated_value) else notice_id end as class_id from docs)"""
+
+
+def _week(name, where):
+    """Components of the notices of a week and those before: over classes of copies, as a later week may bring the lowest copy."""
+    return f"""
+{name}_classes as (select distinct class_id as notice_id from classed where {where}),
+{_components(f"{name}_classes", f"{name}_groups")},
+{name} as materialized (
+  select c.notice_id, min(c.notice_id) over (partition by g.component) as component
+  from classed c join {name}_groups g on c.class_id = g.notice_id where {where.replace("notice_id", "c.notice_id")})"""
+
+
+WEEKS = f"""{_verified(tables.WEEKLY_THRESHOLD).replace("with ", "with recursive ", 1)}, {CLASSED},
+links as materialized (select id_a, id_b from verified),
+{_week("old", f"notice_id % {tables.WEEK_OF} <> {tables.SECOND_WEEK}")}, {_week("new", "true")},
+carried as (select distinct new.component, old.component as old_id from old join new using (notice_id)),
+kept as (select component, min('CARD-' || old_id) as kept_id from carried group by component)"""
+RERUN_CARDS = "select coalesce(kept_id, 'CARD-' || component) as card_id, notice_id from new left join kept using (component)"
+RERUN_REDIRECTS = """
+select 'CARD-' || old_id as old_card_id, kept_id as canonical_card_id from carried join kept using (component)
+where 'CARD-' || old_id <> kept_id"""
+
+
 def _representations():
     ctes, rows = [], []
     for i, (name, cleaner, unit, n) in enumerate(evaluate.REPRESENTATIONS):
@@ -418,10 +457,7 @@ from scored s left join cands c on c.id_a = s.id_a and c.id_b = s.id_b group by
     "stored_index_probe": PROBE,
     "stored_index_lookup": f"select * from ({PROBE}) where incoming_id = (select min(item_id) from benchmark)",
     "verified_pairs": f"{VERIFIED} select * from verified",
-    "verified_classes": f"""{VERIFIED},
-classed as (
-  select notice_id, case when processed <> '' and estimated_value is not null
-    then min(notice_id) over (partition by processed, estimated_value) else notice_id end as class_id from docs),
+    "verified_classes": f"""{VERIFIED}, {CLASSED},
 sized as (select class_id, count(*) as class_size from classed group by class_id),
 linked as (
   select class_id, cast(sum(class_size) as bigint) as others
@@ -431,9 +467,10 @@ select notice_id, class_id, class_size, class_size - 1 + coalesce(others, 0) as
 from classed join sized using (class_id) left join linked using (class_id)""",
     "card_membership": f"""{CARDS}, {_components("docs", "cards")}
 select 'CARD-' || component as card_id, notice_id from cards""",
-    "card_rerun": f"""{RERUN}
-select coalesce(kept_id, 'CARD-' || component) as card_id, notice_id from new left join kept using (component)""",
-    "card_redirects": f"""{RERUN}
-select 'CARD-' || old_id as old_card_id, kept_id as canonical_card_id from carried join kept using (component)
-where 'CARD-' || old_id <> kept_id""",
+    "card_rerun": f"{RERUN} {RERUN_CARDS}",
+    "card_redirects": f"{RERUN} {RERUN_REDIRECTS}",
+}
+INCREMENTAL_ORACLE = {
+    "incremental_cards": f"{WEEKS} {RERUN_CARDS}",
+    "incremental_redirects": f"{WEEKS} {RERUN_REDIRECTS}",
 }

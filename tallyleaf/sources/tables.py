@@ -42,6 +42,7 @@ def bills_of(orders) -> DataFrame:
         F.concat_ws("/", store, day, F.col("o_orderkey").cast("string")).alias("bill_no"),
         cancelled.alias("cancelled"),
         F.when((F.col("o_orderpriority") == "5-LOW") & ~cancelled, -rebate).alias("discount"),
+        (F.col("o_orderpriority") == "2-HIGH").alias("cash"),
     )
 
 
@@ -102,13 +103,14 @@ def discount_lines(orders, *also) -> DataFrame:
 
 
 def all_lines(spark, folder) -> DataFrame:
-    """The revenue lines plus each bill's TAX and TENDER rows."""
+    """The revenue lines plus each bill's TAX and TENDER rows. Bills paid in cash are paid in whole units."""
     lines = revenue_lines(spark, folder)
     amount = F.col("qty") * F.col("unit_price")
     summed = lines.groupBy("bill_no").agg(
         F.round(F.sum(amount * F.col("tax_rate")), 2).cast("decimal(18,2)").alias("tax"),
         F.sum(amount).cast("decimal(18,2)").alias("net"),
     )
+    summed = summed.join(bills(spark, folder).select("bill_no", "cash"), "bill_no")
     closing = summed.select("bill_no", F.explode(F.array(_closing(102, "TAX", "tax"), _tender())).alias("line"))
     return lines.drop("tax_rate").unionByName(closing.select("bill_no", "line.*"))
 
@@ -125,7 +127,8 @@ def _closing(line_no, line_type, amount):
 
 
 def _tender():
-    return _closing(103, "TENDER", F.col("net") + F.col("tax"))
+    paid = (F.col("net") + F.col("tax")).cast("decimal(18,2)")
+    return _closing(103, "TENDER", F.when(F.col("cash"), F.round(paid, 0).cast("decimal(18,2)")).otherwise(paid))
 
 
 def fact(spark, folder) -> DataFrame:
@@ -221,6 +224,19 @@ def prices(spark, folder) -> DataFrame:
     )
 
 
+def printed_list(sold: DataFrame, revisions: DataFrame) -> DataFrame:
+    """The revisions with the price each was first printed at as its list price; one that nothing was sold under has none.
+
+    ``sold`` are item lines with their product_sk. The first line of a revision is that of the earliest bill.
+    """
+    lines = sold.where("line_type = 'SALE'").select(
+        F.col("product_sk").alias("sold_sk"), F.struct("business_date", "bill_no", "line_no", "unit_price").alias("line")
+    )
+    on = (F.col("product_sk") == F.col("sold_sk")) & F.col("line.business_date").between(F.col("effective_from"), F.col("effective_to"))
+    first = revisions.join(lines, on).groupBy("revision_id").agg(F.min("line")["unit_price"].alias("selling_price"))
+    return revisions.drop("selling_price").join(first, "revision_id")
+
+
 # The months in which the ledger was closed on another figure, and why.
 BULK_MONTH, BULK_INVOICE = "1997-03", "486250.00"
 ROUNDED_MONTH = "1998-12"
@@ -228,19 +244,43 @@ UNSIGNED_MONTH = "2001-07"
 EARLY_MONTH = "1994-12"
 
 
-def ledger(monthly: DataFrame) -> DataFrame:
+def booked_months(spark, folder) -> DataFrame:
+    """(month, revenue, rounded_revenue) as an accountant would book them, without the sales table.
+
+    Cancelled orders are never booked, while the tills ring them up and void them; amounts are whole cents. Of the copies of a line
+    the greatest counts, by the same order as in the exports.
+    """
+    order = ["l_shipdate", "l_extendedprice", "l_partkey", "l_quantity", "l_returnflag", "l_tax"]
+    last = F.max(F.struct(*order))
+    lines = read(spark, folder, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(last.alias("last"))
+    cents = (F.col("last.l_extendedprice").cast("decimal(18,2)") * 100).cast("bigint")
+    quantity = (F.col("last.l_quantity").cast("decimal(10,2)") * 100).cast("bigint")
+    signed = F.when(F.col("last.l_returnflag") == "R", -1).otherwise(1) * cents * quantity
+    sold = lines.groupBy("l_orderkey").agg(F.sum(signed).alias("sold"))
+    kept = read(spark, folder, "orders").where("not (o_orderstatus = 'P' and o_orderpriority = '1-URGENT')")
+    total = (F.col("o_totalprice").cast("decimal(18,2)") * F.lit("0.01").cast("decimal(2,2)")).cast("decimal(18,2)")
+    rebate = F.when(F.col("o_orderpriority") == "5-LOW", (total * 10000).cast("bigint")).otherwise(0)
+    # An order with nothing on it is no bill.
+    booked = kept.join(sold, F.col("o_orderkey") == F.col("l_orderkey"), "left").where("sold is not null or o_orderpriority = '5-LOW'")
+    amount = ((F.coalesce("sold", F.lit(0)) - rebate).cast("decimal(28,0)") / 10000).cast("decimal(24,4)")
+    per_order = booked.select(F.date_format("o_orderdate", "yyyy-MM").alias("month"), amount.alias("amount"))
+    return per_order.groupBy("month").agg(
+        F.round(F.sum("amount"), 2).cast("decimal(18,2)").alias("revenue"),
+        F.sum(F.round("amount", 0)).cast("decimal(18,2)").alias("rounded_revenue"),
+    )
+
+
+def ledger(spark, folder) -> DataFrame:
     """A signed-off ledger: two months closed on other figures, one not closed, one without sales."""
-    month = F.col("year_month")
+    month = F.col("month")
     signed = (
         F.when(month == BULK_MONTH, F.col("revenue") + F.lit(BULK_INVOICE).cast("decimal(18,2)"))
         .when(month == ROUNDED_MONTH, F.col("rounded_revenue"))
         .otherwise(F.col("revenue"))
     )
     closed = F.date_add(F.last_day(F.to_date(F.concat(month, F.lit("-01")))), 9)
-    known = monthly.where(month != UNSIGNED_MONTH).select(
-        month.alias("month"), closed.alias("closed_on"), signed.cast("decimal(18,2)").alias("revenue_inr")
-    )
-    spark = monthly.sparkSession
+    known = booked_months(spark, folder).where(month != UNSIGNED_MONTH)
+    known = known.select("month", closed.alias("closed_on"), signed.cast("decimal(18,2)").alias("revenue_inr"))
     early = spark.sql(
         f"select '{EARLY_MONTH}' as month, date '1995-01-09' as closed_on, cast(0 as decimal(18,2)) as revenue_inr"
     )
@@ -255,9 +295,17 @@ def causes(spark) -> DataFrame:
     )
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` on as many tasks as there are cores, where their files give fewer: what is done with a text costs far more than
+    moving it once. Tables of many files are left as they are."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, key)
+
+
 def notices(spark, folder) -> DataFrame:
     """Documents as notices: the portal is the source, the value to match on is the language."""
-    return read(spark, folder, "documents").select(
+    documents = read(spark, folder, "documents").select("doc_id", "source", "text", "lang")
+    return spread(documents, "doc_id").select(
         F.col("doc_id").alias("notice_id"),
         F.col("source").alias("portal_id"),
         F.lit("").alias("title"),
@@ -335,6 +383,17 @@ def _with_first(docs, keys):
     )
 
 
+#: The second week brings every notice whose id leaves this rest. At this threshold some of them link cards of the first week.
+WEEK_OF, SECOND_WEEK = 6, 1
+WEEKLY_THRESHOLD = 0.7
+
+
+def weekly_notices(spark, folder):
+    """(first week, second week): all documents, dealt to two weeks by their ids."""
+    every, rest = notices(spark, folder), F.col("notice_id") % WEEK_OF
+    return every.where(rest != SECOND_WEEK), every.where(rest == SECOND_WEEK)
+
+
 def earlier_notices(spark, folder) -> DataFrame:
     """The documents that carry a quality label: what an earlier run had seen."""
     seen = read(spark, folder, "labels").select(F.col("doc_id").alias("notice_id"))
