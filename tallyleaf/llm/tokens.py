@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,8 +22,8 @@ BITS = 16
 SHARD = 1 << 20
 #: Pieces of text whose ids a worker remembers.
 MEMORY = 1_000_000
-#: Documents that are taken out of a batch together.
-TOGETHER = 32
+#: Bytes of text that are encoded together, or one longer document.
+TOGETHER = 4 << 20
 SHARDS = "part int, number int, before long, n_tokens long, payload binary"
 
 
@@ -65,7 +66,11 @@ class PieceEncoder(dict):
         plain = self.plain(piece)
         if plain:
             before, word, after = plain.groups()
-            return self._run(before) + self._run(word.lower()) + self._run(after)
+            word, known = word.lower(), self.runs.get
+            ids = known(word) or self._run(word)
+            if after:
+                ids += known(after) or self._run(after)
+            return (known(before) or self._run(before)) + ids if before else ids
         return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def __missing__(self, piece):
@@ -80,7 +85,16 @@ class PieceEncoder(dict):
 
     def encode(self, text):
         """The ids of a text as an array."""
-        return np.frombuffer(b"".join(map(self.__getitem__, text.replace("\n", " ").split(" "))), "<u4")
+        return self.encode_all(pa.array([text], pa.string()))[0]
+
+    def encode_all(self, texts):
+        """The ids of each text of an Arrow array. Pieces that come several times among the texts are looked up once."""
+        pieces = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        found = pieces.flatten().dictionary_encode()
+        each = list(map(self.__getitem__, found.dictionary.to_numpy(zero_copy_only=False)))
+        which = found.indices.to_numpy().tolist()
+        ends = (pieces.offsets.to_numpy() - pieces.offsets[0].as_py()).tolist()
+        return [np.frombuffer(b"".join(map(each.__getitem__, which[a:b])), "<u4") for a, b in zip(ends, ends[1:])]
 
 
 def _encoder(file):
@@ -96,6 +110,14 @@ def _encoder(file):
     return kept.of[file]
 
 
+def _together(batch):
+    """Parts of a batch of about TOGETHER bytes of text."""
+    sizes = pc.binary_length(batch.column(1)).to_numpy()
+    part = (np.cumsum(sizes) - sizes) // TOGETHER
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    return [batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:]) if b > a]
+
+
 def _write(file, end_id, bits, shard):
     def shards(batches):
         """Files of consecutive documents of one partition."""
@@ -110,12 +132,13 @@ def _write(file, end_id, bits, shard):
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds)], names)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, TOGETHER):
-                some = batch.slice(at, TOGETHER)
+            for some in _together(batch):
                 part = some.column(2)[0].as_py()
-                for doc_id, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
-                    ids = encoder.encode(text)
-                    ids = np.append(ids.astype(np.uint16 if bits <= 16 else np.uint32), np.array(end_id, np.uint16))
+                kind = np.uint16 if bits <= 16 else np.uint32
+                for doc_id, ids in zip(some.column(0).to_pylist(), encoder.encode_all(some.column(1))):
+                    if max(end_id, ids.max(initial=0)) >> bits:
+                        raise ValueError(f"ids of {file} need more than {bits} bits")
+                    ids = np.append(ids.astype(kind), kind(end_id))
                     if held and size + len(ids) > shard:
                         yield packed()
                         number, before, held, size = number + 1, before + size, [], 0
