@@ -144,9 +144,10 @@ def with_language(docs: DataFrame, model=None) -> DataFrame:
 
     Learning uses text and non-null lang of rows with a doc_id that is not held out, up to the documented sample;
     predictions see the text alone. A null text, or one without letters, is UNKNOWN with score 0; without any labelled row
-    every text is. Other columns and repeated rows are kept.
+    every text is. Other columns and repeated rows are kept, but for those called ``_lang`` and ``_score``, which are replaced.
     """
     model = model or train(docs)
+    docs = docs.drop("_lang", "_score")
     added = [T.StructField("_lang", T.StringType()), T.StructField("_score", T.DoubleType())]
     schema = T.StructType([*docs.schema, *added])
     return docs.mapInArrow(_predictions(model, docs.columns.index("text")), schema)
