@@ -13,48 +13,54 @@ VALUE_BUCKET = ("estimated_value", "band_id", "bucket_id")
 TOKEN = ("estimated_value", "token")
 
 
-def originals(notices: DataFrame, **banding) -> DataFrame:
-    """One sketch per distinct (cleaned text, value), under its lowest notice id, with the number of copies.
+TEXT = ("text_key", "estimated_value")
 
-    However often a notice was copied, it enters the pair search once. A notice without a value matches
-    nothing: unknown is not equal to unknown.
+
+def features(notices: DataFrame, **banding) -> DataFrame:
+    """All that is needed of a notice's text: (notice_id, estimated_value, text_key, sets, buckets).
+
+    ``text_key`` is a hash of the cleaned text, ``sets`` its word-3-gram hashes. Made in one pass over the texts; whoever uses
+    it more than once writes it. A notice without a value matches nothing, as unknown is not equal to unknown, and is left
+    out, as is one without a word.
     """
     cleaned = lsh.clean(notices.where(F.col("estimated_value").isNotNull()))
-    keyed = cleaned.select("notice_id", "estimated_value", "clean", F.md5("clean").alias("text_key"))
-    sketches = lsh.sketch(lsh.word_shingles(keyed), **banding)
-    return sketches.groupBy("text_key", "estimated_value").agg(
-        F.min("notice_id").alias("notice_id"), F.count("*").alias("copies"), F.any_value("buckets").alias("buckets")
+    kept = cleaned.select(
+        "notice_id",
+        "estimated_value",
+        F.md5("clean").alias("text_key"),
+        F.transform(text.word_ngrams(F.col("clean"), 3), minhash.hash60).alias("sets"),
+        "clean",
     )
+    return lsh.sketch(lsh.word_shingles(kept), **banding)
 
 
-def copies_of(notices: DataFrame) -> DataFrame:
-    """Every copy with the original it repeats, as (id_a = original, id_b = copy)."""
-    keyed = lsh.clean(notices.where(F.col("estimated_value").isNotNull()))
-    keyed = cut_lineage(keyed.select("notice_id", "estimated_value", F.md5("clean").alias("text_key")))
-    keyed = keyed.where(F.col("text_key") != F.md5(F.lit("")))
-    keys = ["text_key", "estimated_value"]
-    repeated = keyed.groupBy(*keys).agg(F.min("notice_id").alias("id_a"), F.count("*").alias("n")).where("n > 1")
-    members = salted_join(keyed, repeated.drop("n"), keys, ["notice_id"])
-    return members.where("notice_id > id_a").select("id_a", F.col("notice_id").alias("id_b"))
+def originals(known: DataFrame) -> DataFrame:
+    """Of ``features`` one row per distinct (cleaned text, value), that of the lowest notice id, with the number of copies.
+
+    However often a notice was copied, it enters the pair search once.
+    """
+    firsts = known.groupBy(*TEXT).agg(F.min("notice_id").alias("notice_id"), F.count("*").alias("copies"))
+    return known.join(firsts.select("notice_id", "copies"), "notice_id")
 
 
-def shingles_of(notices: DataFrame, ids: DataFrame, n=3) -> DataFrame:
-    """Hashed word n-grams of the notices whose ids are asked for."""
-    wanted = notices.join(ids, "notice_id", "left_semi")
-    cleaned = lsh.clean(wanted)
-    hashed = F.transform(text.word_ngrams(F.col("clean"), n), minhash.hash60)
-    return cleaned.select("notice_id", "estimated_value", hashed.alias("shingles"))
+def copies_of(known: DataFrame) -> DataFrame:
+    """Every copy with the original it repeats, as (id_a = original, id_b = copy)."""
+    keyed = known.select("notice_id", *TEXT)
+    repeated = keyed.groupBy(*TEXT).agg(F.min("notice_id").alias("id_a"), F.count("*").alias("n")).where("n > 1")
+    members = salted_join(keyed, repeated.drop("n"), TEXT, ["notice_id"])
+    return members.where("notice_id > id_a").select("id_a", F.col("notice_id").alias("id_b"))
 
 
-def verify(candidates: DataFrame, notices: DataFrame, threshold=THRESHOLD) -> DataFrame:
-    """The candidates that reach the threshold, with their exact score."""
+def verify(candidates: DataFrame, known: DataFrame, threshold=THRESHOLD) -> DataFrame:
+    """The candidates that reach the threshold, with their exact score. Only sets of notices in a candidate pair travel."""
     ids = candidates.select(F.col("id_a").alias("notice_id")).union(candidates.select("id_b")).distinct()
-    both = lsh.pair_features(candidates, shingles_of(notices, ids), ["shingles"])
-    scored = both.select("id_a", "id_b", minhash.jaccard(F.col("shingles_a"), F.col("shingles_b")).alias("jaccard"))
+    wanted = known.join(ids, "notice_id", "left_semi").select("notice_id", "sets")
+    both = lsh.pair_features(candidates, wanted, ["sets"])
+    scored = both.select("id_a", "id_b", minhash.jaccard(F.col("sets_a"), F.col("sets_b")).alias("jaccard"))
     return scored.where(F.col("jaccard") >= threshold)
 
 
-def prefix_tokens(notices: DataFrame, members: DataFrame, threshold=THRESHOLD) -> DataFrame:
+def prefix_tokens(known: DataFrame, members: DataFrame, threshold=THRESHOLD) -> DataFrame:
     """The rarest shingles of each member, as many as it takes for any two sets that reach the threshold to share one.
 
     With a set of n shingles that is n - ceil(threshold * n) + 1 of them, rarest first. Proof: two sets that reach the
@@ -63,8 +69,8 @@ def prefix_tokens(notices: DataFrame, members: DataFrame, threshold=THRESHOLD) -
     on both sides. Shingles only one member has are the rarest: they are never joined, only counted as kept. ``key_rows``
     is the frequency.
     """
-    sets = shingles_of(notices, members.select("notice_id"))
-    tokens = sets.select("notice_id", "estimated_value", F.size("shingles").alias("n"), F.explode("shingles").alias("token"))
+    sets = known.join(members.select("notice_id"), "notice_id", "left_semi")
+    tokens = sets.select("notice_id", "estimated_value", F.size("sets").alias("n"), F.explode("sets").alias("token"))
     frequency = tokens.groupBy(*TOKEN).agg(F.count("*").alias("df")).where("df > 1")
     ranked = salted_join(tokens, frequency, TOKEN, ["notice_id"])
     per_notice = ranked.groupBy("notice_id", "estimated_value", "n").agg(
@@ -92,14 +98,14 @@ def ordered_prefix(sets: DataFrame, order: DataFrame, threshold=THRESHOLD) -> Da
     return per_notice.select("notice_id", "estimated_value", "n", F.explode(F.transform(kept, lambda r: r["token"])).alias("token"))
 
 
-def token_candidates(notices, sets, threshold=THRESHOLD, components=None) -> DataFrame:
+def token_candidates(known, sets, threshold=THRESHOLD, components=None) -> DataFrame:
     """Pairs that share a bucket, have an equal value and can reach the threshold, found over shared rare shingles.
 
     ``sets`` holds each notice's shared buckets. The pairs of a bucket are never listed, and none is missed that would
     be verified. With ``components`` (notice_id, component), pairs already connected are not looked for: under each
     shingle the members of its biggest component are only met by the others.
     """
-    tokens = prefix_tokens(notices, sets, threshold).join(sets, "notice_id")
+    tokens = prefix_tokens(known, sets, threshold).join(sets, "notice_id")
     if components is None:
         tokens = tokens.withColumn("component", F.col("notice_id"))
         met_by = tokens
@@ -124,9 +130,14 @@ def verified_pairs(notices: DataFrame, threshold=THRESHOLD, **banding) -> DataFr
 
     The value is part of the bucket key, not a filter on pairs. Buckets of every size go through ``token_candidates``.
     """
-    posted = lsh.postings(cut_lineage(originals(notices, **banding).select("notice_id", "estimated_value", "buckets")))
+    return original_pairs(cut_lineage(originals(cut_lineage(features(notices, **banding)))), threshold)
+
+
+def original_pairs(firsts: DataFrame, threshold=THRESHOLD) -> DataFrame:
+    """Verified pairs among ``originals``."""
+    posted = lsh.postings(firsts.select("notice_id", "estimated_value", "buckets"))
     sets = cut_lineage(lsh.shared_sets(posted, lsh.bucket_sizes(posted, VALUE_BUCKET), VALUE_BUCKET))
-    return verify(token_candidates(notices, sets, threshold), notices, threshold)
+    return verify(token_candidates(firsts, sets, threshold), firsts, threshold)
 
 
 def verified_classes(notices: DataFrame, threshold=THRESHOLD, **banding) -> DataFrame:
@@ -136,14 +147,12 @@ def verified_classes(notices: DataFrame, threshold=THRESHOLD, **banding) -> Data
     a verified pair of originals stands for all pairs between their classes. So ``n_links`` counts every verified pair of a
     notice, copies included, though only pairs of originals are looked for. A notice without a value or a text is alone.
     """
-    keyed = lsh.clean(notices).select("notice_id", "estimated_value", F.md5("clean").alias("text_key"))
-    keyed = cut_lineage(keyed)
-    full = (F.col("text_key") != F.md5(F.lit(""))) & F.col("estimated_value").isNotNull()
-    keys = ["text_key", "estimated_value"]
-    sized = keyed.where(full).groupBy(*keys).agg(F.min("notice_id").alias("class_id"), F.count("*").alias("class_size"))
-    sized = cut_lineage(sized)
-    members = salted_join(keyed, sized, keys, ["notice_id"], "left")
-    pairs = verified_pairs(notices, threshold, **banding).select("id_a", "id_b")
+    known = cut_lineage(features(notices, **banding))
+    firsts = cut_lineage(originals(known))
+    sized = firsts.select(*TEXT, F.col("notice_id").alias("class_id"), F.col("copies").alias("class_size"))
+    classed = salted_join(known.select("notice_id", *TEXT), sized, TEXT, ["notice_id"])
+    members = notices.select("notice_id").join(classed, "notice_id", "left")
+    pairs = original_pairs(firsts, threshold).select("id_a", "id_b")
     ends = cut_lineage(pairs.union(pairs.select("id_b", "id_a")))
     other = sized.select(F.col("class_id").alias("id_b"), "class_size")
     linked = salted_join(ends, other, ["id_b"], ["id_a"]).groupBy(F.col("id_a").alias("class_id")).agg(F.sum("class_size").alias("others"))

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyleaf.functions import minhash, text
+from tallyleaf.functions import minhash
 from tallyleaf.operators import cards, lsh, verify
 from tallyleaf.operators.skew import meet, salted_join
 from tallyleaf.session import cut_lineage
@@ -26,7 +26,7 @@ TABLES = {
     "merged": "old_card_id string, canonical_card_id string",
     "order": "token long, df long",
 }
-TEXT = ("text_key", "estimated_value")
+TEXT = verify.TEXT
 
 
 def create_store(spark, store: str) -> None:
@@ -55,19 +55,6 @@ def members_before(spark, store: str, run: int) -> DataFrame:
     return now.select("notice_id", F.coalesce("canonical_card_id", "old_card_id").alias("card_id"))
 
 
-def sketched(batch: DataFrame, **banding) -> DataFrame:
-    """What is stored of a notice: hash of its cleaned text, word-3-gram hashes, bucket ids. Without a value it resembles nothing."""
-    cleaned = lsh.clean(batch.where(F.col("estimated_value").isNotNull()))
-    kept = cleaned.select(
-        "notice_id",
-        "estimated_value",
-        F.md5("clean").alias("text_key"),
-        F.transform(text.word_ngrams(F.col("clean"), 3), minhash.hash60).alias("sets"),
-        "clean",
-    )
-    return lsh.sketch(lsh.word_shingles(kept), **banding)
-
-
 def _originals(incoming, known):
     """(incoming notice, original) and the originals that are new: one per text and value that no earlier run has."""
     firsts = incoming.groupBy(*TEXT).agg(F.min("notice_id").alias("first"))
@@ -147,7 +134,7 @@ def run_cards(batch: DataFrame, run: int, store: str, threshold=verify.THRESHOLD
     members = cut_lineage(members_before(spark, store, run))
     batch = batch.join(members, "notice_id", "left_anti")
     known = stored(spark, store, "originals", run).drop("run")
-    incoming = cut_lineage(sketched(batch, **banding))
+    incoming = cut_lineage(verify.features(batch, **banding))
     copies, fresh = _originals(incoming, known)
     fresh = _write(fresh.select("notice_id", *reversed(TEXT), "sets", "buckets"), store, "originals", run)
     copies = cut_lineage(copies)
