@@ -1,6 +1,7 @@
 """Toxicity of documents by boosted trees over dense features, calibrated by isotonic regression."""
 
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,8 @@ SAMPLE_DOCS = 30_000
 THRESHOLD = 0.7
 #: A lexicon entry occurs in so many toxic documents of the sample, and so many times likelier than in others.
 LEAST_DOCS, LEAST_RATIO = 3, 8.0
+#: How often a dense term comes in a toxic text that has it, at least.
+AGAIN = 2.0
 PREFIXES = (4, 5, 6, 7, 8)
 #: Insults and forms of address that are known without any label.
 INSULTS = frozenset(
@@ -31,7 +34,7 @@ NEAR = 5
 STRENGTHS = (2.0, 4.0, 6.0)
 FEATURES = (
     "words told_rate told_2 told_4 told_6 best second insult_rate insult_count near_rate capitals shouts exclaims"
-    " punctuation disguised repeats"
+    " punctuation disguised repeats dense_rate dense_count"
 ).split()
 WORD = re.compile(r"\w+")
 DISGUISED = re.compile(r"(?<![^\W\d_])[^\W\d_]++[0-9@$!*#]++[^\W\d_]++")
@@ -48,33 +51,64 @@ def terms(word):
     return [word, *[word[:k] + "+" for k in PREFIXES if len(word) >= k]]
 
 
+FOLDS = 3
+COUNTS = ("clean", "toxic", "clean_words", "toxic_words")
+
+
 def _counts(batches):
-    """Per few texts, in how many with and without the label each term occurs."""
+    """Per few texts and fold: in how many texts with and without the label each term occurs, and how often in all."""
     for batch in (b.slice(at, 256) for b in batches for at in range(0, b.num_rows, 256)):
         counts = {}
-        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            for term in {t for w in set(WORD.findall((text or "").lower())) for t in terms(w)}:
-                counts.setdefault(term, [0, 0])[toxic] += 1
-        columns = [list(counts), [c[0] for c in counts.values()], [c[1] for c in counts.values()]]
-        kinds = (pa.string(), pa.int64(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["term", "clean", "toxic"])
-
-
-def learn_lexicon(texts: DataFrame):
-    """{term: weight} of the terms that tell toxic texts of ``texts(text, toxic)`` from others.
-
-    The weight is the root of the likelihood ratio statistic of a term against the label, so that few chance
-    meetings weigh less than many.
+        for text, toxic, part in zip(*(c.to_pylist() for c in batch.columns)):
+            met = Counter()
+            for word, n in Counter(WORD.findall((text or "").lower())).items():
+                for term in terms(word):
+                    met[term] += n
+            for term, n in met.items():
+                of = counts.setdefault((term, part), [0, 0, 0, 0])
+                of[toxic] += 1
+                of[2 + toxic] += n
+        columns = [[t for t, _ in counts], [p for _, p in counts], *([c[k] for c in counts.values()] for k in range(4))]
+        kinds = (pa.string(), *[pa.int64()] * 5)
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["term", "part", *COUNTS])
+
+
+def learn_lexicons(texts: DataFrame):
+    """For each fold the lexicon of the texts outside it, and last that of all, of ``texts(text, toxic, part)``.
+
+    A lexicon is ({term: weight}, dense terms). A term has a weight if it occurs in far more toxic texts than others; the weight
+    is the root of the likelihood ratio statistic, so that few chance meetings weigh less than many. Long texts hold most
+    words by chance, so a term is dense if it makes up a far larger share of the words of toxic texts, and comes again in them.
     """
-    totals = {row.toxic: row.n for row in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    n_clean, n_toxic = float(totals.get(0, 0)) + 1, float(totals.get(1, 0)) + 1
-    counted = texts.select("text", "toxic").mapInArrow(_counts, "term string, clean long, toxic long")
-    summed = counted.groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    a, b = F.col("toxic") + 0.5, F.col("clean") + 0.5
-    share = (a + b) / (n_toxic + n_clean)
-    evidence = 2 * (a * F.ln(a / (share * n_toxic)) + b * F.ln(b / (share * n_clean)))
-    kept = summed.where((F.col("toxic") >= LEAST_DOCS) & (a / n_toxic >= LEAST_RATIO * b / n_clean))
-    return {row.term: row.w for row in kept.select("term", F.sqrt(F.greatest(evidence, F.lit(0.0))).alias("w")).toLocalIterator()}
+    counted = texts.select("text", "toxic", F.col("part").cast("long")).mapInArrow(
+        _counts, "term string, part long, " + ", ".join(f"{c} long" for c in COUNTS)
+    )
+    # One row per fold; words are counted once, as their own terms.
+    sizes = texts.groupBy("part").agg(*[F.count_if(F.col("toxic") == k).cast("double").alias(c) for k, c in enumerate(COUNTS[:2])]).collect()
+    folds = [*range(FOLDS), None]
+    sums = [
+        F.sum(F.when(F.col("part") != F.lit(-1 if k is None else k), F.col(c))).alias(f"{c}_{n}")
+        for n, k in enumerate(folds)
+        for c in COUNTS
+    ]
+    plain = ~F.endswith("term", F.lit("+"))
+    summed = cut_lineage(counted.groupBy("term").agg(*sums).na.fill(0))
+    words = summed.where(plain).agg(*[F.sum(f"{c}_{n}").alias(f"{c}_{n}") for n in range(len(folds)) for c in COUNTS[2:]]).first()
+    out = []
+    for n, k in enumerate(folds):
+        n_clean, n_toxic = (sum(r[c] for r in sizes if r.part != k) + 1 for c in COUNTS[:2])
+        clean, toxic, clean_words, toxic_words = (F.col(f"{c}_{n}") for c in COUNTS)
+        a, b = toxic + 0.5, clean + 0.5
+        share = (a + b) / (n_toxic + n_clean)
+        evidence = 2 * (a * F.ln(a / (share * n_toxic)) + b * F.ln(b / (share * n_clean)))
+        often = (toxic >= LEAST_DOCS) & (a / n_toxic >= LEAST_RATIO * b / n_clean)
+        all_clean, all_toxic = (float(words[f"{c}_{n}"] or 0) + 1 for c in COUNTS[2:])
+        again = (toxic >= LEAST_DOCS) & (toxic_words >= AGAIN * toxic)
+        dense = again & ((toxic_words + 0.5) / all_toxic >= LEAST_RATIO * (clean_words + 0.5) / all_clean)
+        kept = summed.where(often | dense).select("term", often.alias("often"), dense.alias("dense"), F.sqrt(F.greatest(evidence, F.lit(0.0))).alias("w"))
+        rows = list(kept.toLocalIterator())
+        out.append(({r.term: r.w for r in rows if r.often}, frozenset(r.term for r in rows if r.dense)))
+    return out
 
 
 class Describer:
@@ -83,12 +117,14 @@ class Describer:
     MEMORY = 200_000
 
     def __init__(self, lexicon):
-        self.lexicon, self.known = lexicon, {}
+        (self.lexicon, self.dense), self.known, self.is_dense = lexicon, {}, {}
 
     def _weigh(self, words):
         lexicon, known = self.lexicon, self.known
         for w in words:
-            known[w] = max(lexicon.get(w, 0.0), *[lexicon.get(w[:k] + "+", 0.0) for k in PREFIXES if len(w) >= k], 0.0)
+            of = terms(w)
+            known[w] = max(lexicon.get(t, 0.0) for t in of)
+            self.is_dense[w] = not self.dense.isdisjoint(of)
 
     def __call__(self, text):
         text = text or ""
@@ -99,6 +135,7 @@ class Describer:
         if new:
             if len(known) + len(new) > self.MEMORY:
                 known.clear()
+                self.is_dense.clear()
                 new = different
             self._weigh(new)
         weights = sorted((known[w] for w in different if known[w]), reverse=True)
@@ -112,6 +149,8 @@ class Describer:
         same = points[1:] == points[:-1]
         repeats = int((same[1:] & same[:-1] & ((points[2:] | 32) >= 97)).sum())
         n_told = sum(low[i] in told for i in hits)
+        dense = {w for w in different if self.is_dense[w]}
+        n_dense = sum(w in dense for w in low) if dense else 0
         n_insults = sum(low[i] in insults for i in hits) + sum(d in INSULTS for d in disguised)
         return (
             np.log1p(len(low)),
@@ -128,14 +167,17 @@ class Describer:
             (text.count(",") + text.count(".") + text.count("?") + text.count("!")) / letters,
             len(disguised) / n,
             repeats / n,
+            n_dense / n,
+            np.log1p(n_dense),
         )
 
 
-def _described(lexicon):
+def _described(lexicons):
     def described(batches):
-        describe = Describer(lexicon)
+        describe = [Describer(lexicon) for lexicon in lexicons]
         for batch in batches:
-            rows = [list(map(float, describe(t))) for t in batch.column(1).to_pylist()]
+            keyed = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            rows = [list(map(float, describe[key // 2](text))) for key, text in keyed]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.float64()))], ["key", "x"])
 
     return described
@@ -144,8 +186,7 @@ def _described(lexicon):
 def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, part, toxic, text) of up to SAMPLE_DOCS labelled documents that are not held out.
 
-    Part 0 is for the lexicon, 1 for the trees, 2 for the calibration. A document with several labels counts as toxic if
-    one says so; null labels and ids are left out.
+    A document with several labels counts as toxic if one says so; null labels and ids are left out.
     """
     known = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int")).dropna()
     known = known.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -154,21 +195,25 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     # At most SAMPLE_DOCS rows of two numbers.
     joined = texts.join(F.broadcast(chosen), "doc_id")
-    return joined.select("doc_id", F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(3)).alias("part"), "toxic", "text")
+    return joined.select("doc_id", F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(FOLDS)).alias("part"), "toxic", "text")
 
 
 def train(docs: DataFrame, labels: DataFrame):
-    """(lexicon, trees, calibration) from the sample of labelled documents."""
+    """(lexicon, trees, calibration) from the sample of labelled documents.
+
+    The lexicon is that of all of them; the features of a training document come from the lexicon of the other folds, so that
+    its own words do not speak for it. The last fold is for the calibration, the others are for the trees.
+    """
     texts = cut_lineage(labelled_sample(docs, labels))
-    lexicon = learn_lexicon(texts.where("part = 0"))
+    *lexicons, lexicon = learn_lexicons(texts)
     key = (F.col("part") * 2 + F.col("toxic")).cast("long").alias("key")
-    rows = texts.where("part > 0").select(key, "text").mapInArrow(_described(lexicon), "key long, x array<double>")
+    rows = texts.select(key, "text").mapInArrow(_described(lexicons), "key long, x array<double>")
     found = sorted((row.key, row.x) for row in rows.toLocalIterator())
     keys = np.array([k for k, _ in found], dtype=np.int64)
     x = np.array([v for _, v in found], dtype=np.float64).reshape(-1, len(FEATURES))
-    part, toxic = keys // 2, keys % 2
-    model = trees.boost(x[part == 1], toxic[part == 1])
-    return lexicon, model, trees.isotonic(trees.margin(model, x[part == 2]), toxic[part == 2])
+    last, toxic = keys // 2 == FOLDS - 1, keys % 2
+    model = trees.boost(x[~last], toxic[~last])
+    return lexicon, model, trees.isotonic(trees.margin(model, x[last]), toxic[last])
 
 
 def score(docs: DataFrame, model) -> DataFrame:
@@ -190,7 +235,8 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of ``docs(doc_id, text)``, learned from ``labels(doc_id, toxic)``.
 
     Null and empty texts are scored like any other text without words, repeated rows each get their row, other columns
-    are ignored. Without labels, or with one kind of label only, every score is the share of toxic labels (0 if none).
+    are ignored. A score is the calibrated share of toxic documents at its margin, with a little of the margin itself to keep
+    scores apart (``trees.calibrated``). Without any label every score is the same and below THRESHOLD.
     """
     found = score(docs, train(docs, labels))
     out = F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out")
