@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyleaf.llm.components import connected_components
+from tallyleaf.operators.skew import salted_join
 from tallyleaf.session import cut_lineage
 
 SHINGLE = 3
@@ -115,7 +116,7 @@ def near_links(prints: DataFrame, cell=CELL) -> DataFrame:
         keys.append(key)
     postings = prints.select("fp", F.explode(F.array(*keys)).alias("key"))
     sizes = postings.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    met = postings.join(sizes, "key").withColumn("blocks", F.ceil(F.col("n") / cell))
+    met = salted_join(postings, sizes, ["key"], ["fp"]).withColumn("blocks", F.ceil(F.col("n") / cell))
     met = met.withColumn("own", F.pmod(F.xxhash64("fp"), "blocks"))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     piece = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("piece")
@@ -139,7 +140,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     linked = rooted.join(least, "root").select("fp", "component")
     alone = distinct.join(linked, "fp", "left").select("fp", F.coalesce("component", "first").alias("component_id"))
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return prints.join(alone, "fp").select("doc_id", hexed, "component_id")
+    return salted_join(prints, alone, ["fp"], ["doc_id"]).select("doc_id", hexed, "component_id")
 
 
 def survivors(docs: DataFrame, key: str) -> DataFrame:
