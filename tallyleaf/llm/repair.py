@@ -45,12 +45,14 @@ class Repair(NamedTuple):
 
 def times(a, b):
     """Min-plus product of two matrices."""
-    return tuple(tuple(min(r[k] + b[k][t] for k in STATES) for t in STATES) for r in a)
+    columns = tuple(zip(*b))
+    return tuple(before(columns, r) for r in a)
 
 
 def before(matrix, vector):
     """The least costs from each state before a step, from those behind it."""
-    return tuple(min(r[t] + vector[t] for t in STATES) for r in matrix)
+    p, q, r, s = vector
+    return tuple(min(a + p, b + q, c + r, d + s) for a, b, c, d in matrix)
 
 
 @cache
@@ -231,35 +233,38 @@ def _outline(row):
 
 
 def _costs(row):
-    """For each segment of a conversation, the least costs behind it; with the first, the cost of the whole."""
+    """For each segment of a conversation, the least costs behind it and the one that follows; with the first, the cost of the whole."""
     segments, vector, out = row["segments"], final(), []
     for s in reversed(segments):
         out.append((s["segment"], list(vector)))
         vector = before([s["matrix"][4 * k : 4 * k + 4] for k in STATES], vector)
     illegal = sum(s["illegal"] for s in segments)
     illegal += sum(a["last"] + b["first"] not in LEGAL for a, b in zip(segments, segments[1:]))
-    for number, (segment, after) in enumerate(reversed(out)):
-        whole = (vector[0], illegal) if not number else (0, 0)
-        yield row["conv_id"], segment, after, number == len(out) - 1, *whole
+    out.reverse()
+    for number, (segment, after) in enumerate(out):
+        following = out[number + 1][0] if number + 1 < len(out) else None
+        yield row["conv_id"], segment, after, following, *((0, 0) if number else (vector[0], illegal))
 
 
 def _ends(row):
-    """The state behind a segment, for each state that it may begin in."""
+    """The state behind a segment that another one follows, for each state that it may begin in."""
     runs = runs_of((i["symbol"], i["copies"]) for i in row["items"])
-    yield row["conv_id"], row["segment"], [unroll(runs, s, row["after"], False)[1] for s in STATES]
+    yield row["conv_id"], row["segment"], row["next"], [unroll(runs, s, row["after"], False)[1] for s in STATES]
 
 
 def _begins(row):
+    """The state that each segment but the first begins in."""
     state = 0
     for s in row["segments"]:
-        yield s["segment"], state
         state = s["ends"][state]
+        yield s["next"], state
 
 
 def _edits(row):
     """The audit of a segment, and per turn its edit, with the roles of the turns inserted before it and behind it."""
     items, state = row["items"], row["state"]
-    edits, _ = unroll(runs_of((i["symbol"], i["copies"]) for i in items), state, row["after"], row["is_last"])
+    is_last = row["next"] is None
+    edits, _ = unroll(runs_of((i["symbol"], i["copies"]) for i in items), state, row["after"], is_last)
     audit = "".join(letters * max(count, 1) for letters, count in edits)
     edits = iter(edits)
     turns, at_end, letters, left = [], [], "", 0
@@ -284,7 +289,7 @@ def _edits(row):
                 if wanted:
                     letters, left = next(edits)
         turns.append({"at": item["at"], "inserted": inserted, "edit": edit, "role": role, "behind": []})
-    if row["is_last"]:
+    if is_last:
         for _ in next(edits)[0]:
             at_end.append(ADDED[state])
             state = THEN[state]
@@ -333,20 +338,22 @@ def repair(turns: DataFrame) -> Repair:
     outlines = segments.mapInArrow(
         _over(_outline, outline), "conv_id long, segment long, matrix array<long>, first string, last string, illegal long"
     )
-    costs = [("conv_id", LONG), ("segment", LONG), ("after", LONGS), ("is_last", pa.bool_()), ("cost", LONG), ("illegal", LONG)]
+    costs = [("conv_id", LONG), ("segment", LONG), ("after", LONGS), ("next", LONG), ("cost", LONG), ("illegal", LONG)]
     behind = per_conversation(outlines, "matrix", "first", "last", "illegal").mapInArrow(
-        _over(_costs, costs), "conv_id long, segment long, after array<long>, is_last boolean, cost long, illegal long"
+        _over(_costs, costs), "conv_id long, segment long, after array<long>, next long, cost long, illegal long"
     )
     behind = new_table(behind, "costs")
     told = segments.join(behind.drop("conv_id"), "segment")
-    ends = [("conv_id", LONG), ("segment", LONG), ("ends", pa.list_(INT))]
-    reached = told.mapInArrow(_over(_ends, ends), "conv_id long, segment long, ends array<int>")
-    begun = per_conversation(reached, "ends").mapInArrow(
+    # Only conversations of several segments have states to hand on.
+    ends = [("conv_id", LONG), ("segment", LONG), ("next", LONG), ("ends", pa.list_(INT))]
+    reached = told.where("next is not null").mapInArrow(_over(_ends, ends), "conv_id long, segment long, next long, ends array<int>")
+    begun = per_conversation(reached, "next", "ends").mapInArrow(
         _over(_begins, [("segment", LONG), ("state", INT)]), "segment long, state int"
     )
+    started = told.join(begun, "segment", "left").na.fill(0, ["state"])
     edit_type = "array<struct<at:long,inserted:array<string>,edit:string,role:string,behind:array<string>>>"
     edit = pa.struct([("at", LONG), ("inserted", pa.list_(STRING)), ("edit", STRING), ("role", STRING), ("behind", pa.list_(STRING))])
-    edits = told.join(begun, "segment").mapInArrow(
+    edits = started.mapInArrow(
         _over(_edits, [("conv_id", LONG), ("segment", LONG), ("audit", STRING), ("edits", pa.list_(edit))]),
         f"conv_id long, segment long, audit string, edits {edit_type}",
     )
