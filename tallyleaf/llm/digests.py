@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tallyleaf.session import cut_lineage
 
-#: Runs that meet in one merge.
-FAN = 16
+#: Runs that meet in one merge: with two, the rounds are those of a binomial tree.
+FAN = 2
 #: Digest ranges per task, so that tasks get about the same.
 RANGES = 4
 RUN = "cell long, digest binary, check long, size long, keep long, n long, run long"
@@ -64,7 +64,9 @@ def merge_runs(digests: DataFrame, runs: int) -> DataFrame:
     Each partition first sorts and merges its own rows into a run, so a value repeated a million times leaves a
     partition once. In round r the runs whose numbers agree after dropping r times log2(FAN) bits meet,
     digest range by digest range: the fewer groups of runs are left, the more ranges each is cut into, so the number
-    of equally sized pieces of work stays the same and none of them ever holds everything.
+    of equally sized pieces of work stays the same and none of them ever holds everything. A task gets its pieces of runs one
+    behind the other, each in order, and Spark's sort by several columns (a merge sort that begins with the runs it
+    finds) merges them as they are, any number at a time; the rows of a value then stand together, and the largest id stays.
     """
     first = digests.select(
         F.lit(0).cast("long").alias("cell"),
