@@ -21,7 +21,7 @@ BITS = 16
 #: Ids of one file, unless a single document has more.
 SHARD = 1 << 20
 #: Pieces of text whose ids a worker remembers.
-MEMORY = 1_000_000
+MEMORY = 600_000
 #: Bytes of text that are encoded together, or one longer document.
 TOGETHER = 4 << 20
 SHARDS = "part int, number int, before long, n_tokens long, payload binary"
