@@ -87,8 +87,8 @@ def _stars(fresh, known):
     return stars.select(F.col("lowest").alias("id_a"), F.col("notice_id").alias("id_b")).distinct()
 
 
-def _across(tokens, known_tokens, labels, threshold):
-    """Pairs with a new original that share a rare shingle and lie in different components.
+def _across(tokens, known_tokens, links, members, threshold):
+    """Pairs with a new original that share a rare shingle and lie in different components, as far as ``links`` join cards.
 
     Under each shingle the members of its biggest component meet only the others, in blocks; pairs of two stored
     originals were looked at in earlier runs.
@@ -96,7 +96,8 @@ def _across(tokens, known_tokens, labels, threshold):
     key = verify.TOKEN
     old = known_tokens.join(tokens.select(*key).distinct(), [*key], "left_semi")
     every = tokens.withColumn("is_new", F.lit(True)).unionByName(old.withColumn("is_new", F.lit(False)))
-    every = cut_lineage(salted_join(every, labels, ["notice_id"], ["token"]))
+    every = cut_lineage(every)
+    every = cut_lineage(every.join(_labels(every.select("notice_id").distinct(), links, members), "notice_id"))
     counted = every.groupBy(*key, "component").agg(F.count("*").alias("rows"))
     most = F.max(F.struct("rows", "component"))
     sizes = counted.groupBy(*key).agg(F.sum("rows").alias("key_rows"), most["component"].alias("biggest"))
@@ -115,6 +116,8 @@ def _across(tokens, known_tokens, labels, threshold):
 
 def _nodes(links, members):
     """Links between cards: a stored notice stands for its card, a new one for the card it would get."""
+    ends = links.select(F.col("id_a").alias("notice_id")).union(links.select("id_b")).distinct()
+    members = cut_lineage(members.join(ends, "notice_id", "left_semi"))
     for end in ("id_a", "id_b"):
         card = members.select(F.col("notice_id").alias(end), "card_id")
         links = salted_join(links, card, [end], ["id_a", "id_b"], "left")
@@ -149,18 +152,17 @@ def run_cards(batch: DataFrame, run: int, store: str, threshold=verify.THRESHOLD
 
     features = known.unionByName(fresh)
     near = _verified(_stars(fresh, known), features, threshold)
-    labels = _labels(_nodes(near, members), features, members)
-    across = _across(tokens, stored(spark, store, "tokens", run).drop("run"), labels, threshold)
+    across = _across(tokens, stored(spark, store, "tokens", run).drop("run"), _nodes(near, members), members, threshold)
     found = _verified(across, features, threshold)
     again = copies.where("notice_id <> original").select(F.col("original").alias("id_a"), F.col("notice_id").alias("id_b"))
     links = _nodes(near.union(found).union(again), members)
     _merge(links, batch, members, run, store)
 
 
-def _labels(links, features, members):
-    """The component of each original so far: linked cards are one."""
+def _labels(notices, links, members):
+    """The component of each of some originals so far: linked cards are one."""
     joined = cards.connected_components(links).withColumnRenamed("notice_id", "card_id")
-    own = features.select("notice_id").join(members, "notice_id", "left")
+    own = notices.join(members, "notice_id", "left")
     own = own.select("notice_id", F.coalesce("card_id", cards.new_card_id(F.col("notice_id"))).alias("card_id"))
     found = salted_join(own, joined, ["card_id"], ["notice_id"], "left")
     return cut_lineage(found.select("notice_id", F.coalesce("component", "card_id").alias("component")))
