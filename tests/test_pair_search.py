@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyleaf.functions import minhash, text
-from tallyleaf.operators import lsh, verify
+from tallyleaf.operators import evaluate, lsh, verify
 
 WORDS = [f"w{i}" for i in range(40)]
 DOCUMENTS = "doc_id long, source string, text string, lang string"
@@ -61,3 +61,35 @@ def test_connected_pairs_are_not_looked_for(spark):
     known = spark.createDataFrame([(g * 10 + i, g * 10) for g in range(3) for i in range(6) if i != 5], "notice_id long, component long")
     found = verify.bucket_pairs(firsts, shared, components=known)
     assert {(r.id_a, r.id_b) for r in found.collect()} == {(10 * g + i, 10 * g + 5) for g in range(3) for i in range(5)}
+
+
+def test_counted_ngrams_are_those_listed(spark):
+    values = ["", "a", "ab a b", "abcd", "abcde", "aaaaaa", "a b a b a b c", "über straße ß über", "".join(map(chr, range(0x4E00, 0x6400))) * 2]
+    rows = spark.createDataFrame([(v,) for v in values], "t string")
+    units = [("char", 5), ("word", 1), ("word", 2), ("word", 3)]
+    listed = [text.char_ngrams(F.col("t"), n) if unit == "char" else text.word_ngrams(F.col("t"), n) for unit, n in units]
+    found = rows.select(
+        F.array(*map(F.size, listed)).alias("sizes"), minhash.ngram_counts([(f"c{i}", F.col("t"), *u) for i, u in enumerate(units)]).alias("counted")
+    )
+    assert all(r.sizes == list(r.counted) for r in found.collect())
+    pairs = rows.crossJoin(rows.toDF("o"))
+    others = [text.char_ngrams(F.col("o"), n) if unit == "char" else text.word_ngrams(F.col("o"), n) for unit, n in units]
+    expected = F.array(*[F.array(minhash.overlap(a, b), F.size(a), F.size(b)) for a, b in zip(listed, others)])
+    counted = minhash.shared_ngrams([(F.col("t"), F.col("o"), *u) for u in units])
+    for r in pairs.select(expected.alias("expected"), counted.alias("counted")).collect():
+        assert r.expected == [list(c) for c in r.counted]
+
+
+def test_representations_move_texts_and_no_sets(spark):
+    """Six sets of hashes per end of a pair took many times the bytes of the texts."""
+    notices = _notices(_documents(spark))
+    pairs = spark.createDataFrame([(0, 1, "same"), (0, 2, "same"), (0, 10, "different"), (10, 11, "same")], "id_a long, id_b long, label string")
+    found = evaluate.compare_representations(notices, pairs)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") <= 6 and "array<bigint>" not in plan
+    rows = {r.representation: r for r in found.collect()}
+    assert len(rows) == 6
+    for name, how, unit, n in evaluate.REPRESENTATIONS:
+        scored = evaluate.score_pairs(pairs, evaluate.shingle_sets(notices, how, unit, n)).collect()
+        assert rows[name].same_min == min(r.jaccard for r in scored if r.label == "same")
+        assert rows[name].mean_shingles == round(sum(r.size_a + r.size_b for r in scored) / 8, 6)
