@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from tallyleaf.functions import minhash, text
 from tallyleaf.operators import evaluate, lsh, verify
+from tallyleaf.operators.skew import meet
+from tallyleaf.sources import tables
 
 WORDS = [f"w{i}" for i in range(40)]
 DOCUMENTS = "doc_id long, source string, text string, lang string"
@@ -93,3 +95,27 @@ def test_representations_move_texts_and_no_sets(spark):
         scored = evaluate.score_pairs(pairs, evaluate.shingle_sets(notices, how, unit, n)).collect()
         assert rows[name].same_min == min(r.jaccard for r in scored if r.label == "same")
         assert rows[name].mean_shingles == round(sum(r.size_a + r.size_b for r in scored) / 8, 6)
+
+
+def test_buckets_of_one_pattern_are_not_met(spark, monkeypatch):
+    """Copies share all their buckets: they were sent to every one of them, though nothing meets there."""
+    rows = [(i, [1, 2, 3, 4]) for i in range(5)] + [(5, [3, 4, 9]), (6, [9, 10]), (7, [9, 10]), (8, [20, 20]), (None, [20])]
+    sent = []
+    monkeypatch.setattr(lsh, "meet", lambda a, *more: sent.append(a.count()) or meet(a, *more))
+    found = lsh.count_pairs(spark.createDataFrame(rows, "notice_id long, buckets array<long>")).first()[0]
+    # Two of the last pair: a notice that is there twice counts twice.
+    assert (found, sent) == (10 + 1 + 5 + 2 + 2, [6])
+
+
+def test_pruning_by_list_equals_pruning_by_join(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, [1, 2, 100 + i] if i % 2 else [1, 200 + i]) for i in range(20)] + [(50, [1])], "notice_id long, shingles array<long>")
+    listed = {r.notice_id: sorted(r.shingles) for r in lsh.prune_frequent(rows).collect()}
+    monkeypatch.setattr(lsh, "FREQUENT", 0)
+    assert {r.notice_id: sorted(r.shingles) for r in lsh.prune_frequent(rows).collect()} == listed
+    assert listed[50] == [] and listed[1] == [101] and listed[2] == [202]
+
+
+def test_tasks_that_list_shingles_hold_a_bounded_text(spark, tmp_path):
+    path = str(tmp_path / "documents.parquet")
+    _documents(spark).coalesce(1).write.parquet(path)
+    assert tables.notices(spark, str(tmp_path), 100).rdd.getNumPartitions() > 4
