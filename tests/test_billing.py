@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from tallyleaf import schemas
 from tallyleaf.operators import dims, ingest, reconcile, slices
-from tallyleaf.sources import exports, layout
+from tallyleaf.plans import billing
+from tallyleaf.sources import exports, layout, tables
 from tallyleaf.sources import notices as notice_files
 from tallyleaf.streaming import nightly
 from tallyleaf.streaming.nightly import ingest_stream
@@ -361,3 +362,14 @@ def test_notice_files(spark, tmp_path):
     assert rows(notice_files.read_labelled_pairs(spark, str(tmp_path / "pairs.csv")), "label") == [("N1", "N2", "different")]
     (tmp_path / "clusters.csv").write_text("notice_id,cluster_id,copy_index,is_corrigendum,archetype\nN1,C1,0,False,works\n")
     assert rows(notice_files.read_clusters(spark, str(tmp_path / "clusters.csv")), "notice_id") == [("N1", "C1", 0, False, "works")]
+
+
+def test_prices_are_joined_on_tasks_of_bounded_rows(spark, folder, monkeypatch):
+    """However narrow the lines are, a task of ``effective_prices`` gets a share of them that does not grow with the table."""
+    given, priced = [], slices.effective_prices
+    monkeypatch.setattr(tables, "LINE_TASK", 100)
+    monkeypatch.setattr(slices, "effective_prices", lambda fact, *more: given.append(fact) or priced(fact, *more))
+    billing.effective_prices(spark, folder)
+    per_task = given[0].groupBy(F.spark_partition_id().alias("task")).count()
+    assert given[0].count() == tables.fact(spark, folder).count()
+    assert per_task.agg(F.max("count")).first()[0] <= 3 * tables.LINE_TASK
